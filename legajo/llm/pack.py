@@ -144,6 +144,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity
     return (
         pieces.withColumnRenamed(id_col, "i")
         .withColumn("shard", F.pmod(F.xxhash64("i", "part_no"), F.lit(shards)).cast("int"))
+        .repartition(min(shards, 4096), "shard")  # packing is work for the CPU; small shuffles must not be merged into one task
         .groupBy("shard")
         .applyInPandas(one, f"i {kind}, part_no int, start_byte bigint, end_byte bigint, tokens int, container_id bigint")
         .withColumnRenamed("i", id_col)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legajo.llm import lookalike, pack, split
+from legajo.llm import leak, lookalike, pack, split
 from legajo.session import table
 
 
@@ -34,6 +34,14 @@ def p6_assignment(spark: SparkSession, sf: str) -> DataFrame:
     return pack.pack(table(spark, sf, "documents"))
 
 
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return leak.verbatim(leak.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items")))
+
+
+def p7_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    return leak.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
+
+
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return lookalike.look_alikes(table(spark, sf, "documents"))
 
@@ -43,7 +51,7 @@ def p8_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p3_pieces, p6_found, p6_assignment, p8_found, p8_texts)}
+    return {f.__name__: f for f in (p3_found, p3_pieces, p6_found, p6_assignment, p7_found, p7_leaks, p8_found, p8_texts)}
 
 
 #: Blank as Python and Java script see it: Unicode spaces, the byte order mark, line ends.
