@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legajo.llm import leak, lookalike, pack, split
+from legajo.llm import history, leak, lookalike, pack, split
 from legajo.session import table
 
 
@@ -26,6 +26,16 @@ def p3_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return split.pieces(_long_texts(spark, sf), ["source_table", "row_id"], "t")
 
 
+def _batches(spark: SparkSession, sf: str) -> DataFrame:
+    kinds = (("sentencias", "lote", "row_id", "id", "texto_sentencia"), ("contraloria", "lote", "row_id", "doc_id", "documento_completo"), ("documents", "batch_no", "doc_id", "id", "text"))
+    parts = [table(spark, sf, t).select(F.lit(t).alias("source"), F.col(b).alias("batch"), F.col(r).alias("row"), F.col(k).alias("key"), F.col(x).alias("text")) for t, b, r, k, x in kinds]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return history.repeats(_batches(spark, sf)).withColumnRenamed("source", "source_table")
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return pack.oversized(pack.pack(table(spark, sf, "documents")))
 
@@ -51,7 +61,7 @@ def p8_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p3_pieces, p6_found, p6_assignment, p7_found, p7_leaks, p8_found, p8_texts)}
+    return {f.__name__: f for f in (p3_found, p3_pieces, p5_found, p6_found, p6_assignment, p7_found, p7_leaks, p8_found, p8_texts)}
 
 
 #: Blank as Python and Java script see it: Unicode spaces, the byte order mark, line ends.
