@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legajo.llm import history, leak, lookalike, pack, split
+from legajo.llm import history, leak, lookalike, pack, pii, split
 from legajo.session import table
 
 
@@ -17,6 +17,16 @@ def _long_texts(spark: SparkSession, sf: str) -> DataFrame:
     return rulings.unionByName(opinions)
 
 
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    rulings = table(spark, sf, "sentencias")
+    return pii.detect(rulings, pii.fit_lexicon(rulings))
+
+
+def p1_redacted(spark: SparkSession, sf: str) -> DataFrame:
+    rulings = table(spark, sf, "sentencias")
+    return pii.redact(rulings, pii.fit_lexicon(rulings))
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     keys = ["source_table", "row_id"]
     return split.needs(split.plan(_long_texts(spark, sf), keys, "t"), keys)
@@ -61,7 +71,7 @@ def p8_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p3_pieces, p5_found, p6_found, p6_assignment, p7_found, p7_leaks, p8_found, p8_texts)}
+    return {f.__name__: f for f in (p1_found, p1_redacted, p3_found, p3_pieces, p5_found, p6_found, p6_assignment, p7_found, p7_leaks, p8_found, p8_texts)}
 
 
 #: Blank as Python and Java script see it: Unicode spaces, the byte order mark, line ends.
