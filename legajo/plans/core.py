@@ -1,17 +1,394 @@
-"""The queries of the core operators."""
+"""The queries of the core operators on the test tables, with the same in SQL where SQL can say it."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from legajo.functions import scalars as S
+from legajo.operators import dedup, facets, html, projections, runstate, vectors
 from legajo.plans import problems
+from legajo.session import table
+
+_Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a query and its SQL."""
+
+    def add(f):
+        _Q[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+#: JavaScript's white space for DuckDB's regular expressions.
+_WS = r"[\t-\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+
+
+def _trim(x: str) -> str:
+    return f"regexp_replace({x}, '^{_WS}+|{_WS}+$', '', 'g')"
+
+
+_COS = "list_sum(list_transform(list_zip({a}, {b}), lambda z: z[1]::DOUBLE * z[2]::DOUBLE))"
+
+
+def _cos(a: str, b: str) -> str:
+    return f"round({_COS.format(a=a, b=b)} / (sqrt({_COS.format(a=a, b=a)}) * sqrt({_COS.format(a=b, b=b)})), 4)"
+
+
+# --- search --------------------------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT p.vec_id, p.label, {_cos('p.embedding', 'q.embedding')} AS score FROM embeddings p, (SELECT embedding FROM embeddings WHERE vec_id = 0) q WHERE p.vec_id <> 0 AND {_cos('p.embedding', 'q.embedding')} >= 0.2 ORDER BY score DESC, vec_id LIMIT 5")
+def topk_cosine(spark: SparkSession, sf: str) -> DataFrame:
+    points = table(spark, sf, "embeddings")
+    first = points.filter("vec_id = 0").select("embedding").first()
+    return vectors.search(points.filter("vec_id <> 0"), list(first[0]) if first else [0.0], 5, 0.2)
+
+
+@query(
+    f"""WITH s AS (SELECT q.vec_id AS query_id, p.vec_id, {_cos('p.embedding', 'q.embedding')} AS score FROM embeddings p JOIN embeddings q ON q.vec_id % 100 = 0 AND p.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s WHERE score >= 0.2)
+SELECT query_id, vec_id, score, rank::INTEGER AS rank FROM r WHERE rank <= 5"""
+)
+def topk_all(spark: SparkSession, sf: str) -> DataFrame:
+    points = table(spark, sf, "embeddings")
+    return vectors.search_many(points, points.filter("vec_id % 100 = 0"), 5, 0.2)
+
+
+@query(
+    """WITH s AS (SELECT quantile_cont(abs(x), 0.99) AS q FROM (SELECT unnest(embedding)::DOUBLE AS x FROM embeddings))
+SELECT vec_id, list_sum(list_transform(embedding, lambda x: greatest(-127, least(127, floor(x::DOUBLE / s.q * 127 + 0.5)))))::BIGINT AS total FROM embeddings, s"""
+)
+def quantise_int8(spark: SparkSession, sf: str) -> DataFrame:
+    points = table(spark, sf, "embeddings")
+    scale = points.select(F.explode("embedding").alias("x")).agg(F.percentile(F.abs(F.col("x").cast("double")), 0.99).alias("q"))
+    q8 = points.crossJoin(F.broadcast(scale)).withColumn("v", S.quantise(F.col("embedding"), F.col("q")))  # one row
+    return q8.select("vec_id", F.aggregate("v", F.lit(0).cast("bigint"), lambda s, x: s + x).alias("total"))
+
+
+@query("SELECT count(*) AS vectors_count, count(*) FILTER (WHERE len(embedding) <> 64) AS wrong_dim FROM embeddings")
+def vectors_count(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "embeddings").agg(F.count("*").alias("vectors_count"), F.count_if(F.size("embedding") != 64).alias("wrong_dim"))
+
+
+# --- projections ---------------------------------------------------------------------------------------------------------
+
+_COLUMNS = set("id url_corta_acceso_sentencia texto_sentencia caratulado_s fec_sentencia_sup_dt rol_era_sup_s rol_era_ape_s gls_juz_s gls_juez_ss gls_materia_s gls_materia_ss cod_materia_s gls_corte_s gls_sala_sup_s resultado_recurso_sup_s era_sup_i tematica_ss".split())
+
+
+def _ruling_sql() -> str:
+    def read(source: str, kind: str) -> str:
+        if source not in _COLUMNS:
+            return {"text": "''", "int": "'0'", "list": "''"}[kind]
+        if kind == "int":
+            return f"coalesce({source}, 0)::VARCHAR"
+        if kind == "text":
+            return f"coalesce({source}, '')"
+        if source in ("gls_materia_ss", "tematica_ss"):
+            return f"coalesce(array_to_string({source}, '|'), '')"
+        return f"CASE WHEN ltrim({source}, ' ') LIKE '[%' AND json_valid({source}) THEN array_to_string(from_json({source}, '[\"VARCHAR\"]'), '|') ELSE coalesce({source}, '') END"
+
+    known = ", ".join(f"'{b}'" for b in projections.MATRIX if b)
+    cols = []
+    for out, kind in projections.OUTPUTS:
+        case = []
+        for b, rows in projections.MATRIX.items():
+            for o, source, _ in rows:
+                if o == out:
+                    cond = f"lower(base) = '{b}'" if b else f"base IS NULL OR lower(base) NOT IN ({known})"
+                    case.append(f"WHEN {cond} THEN {read(source, kind)}")
+        cols.append(f'CASE {" ".join(case)} END AS "{out}"')
+    return f"SELECT id AS \"idSentence\", base, coalesce(url_corta_acceso_sentencia, '') AS url, {', '.join(cols)} FROM sentencias"
+
+
+@query(_ruling_sql())
+def project_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """Lists are joined and numbers written out, so that both sides compare as text."""
+    meta = projections.ruling_metadata(table(spark, sf, "sentencias"))
+    as_text = {out: F.array_join(out, "|") if kind == "list" else F.col(out).cast("string") for out, kind in projections.OUTPUTS if kind != "text"}
+    return meta.withColumns(as_text)
+
+
+@query(
+    """SELECT id_norm AS "idNorm", coalesce(metadatos.tipos_numeros[1].compuesto, '') AS compuesto, coalesce(metadatos.titulo_norma, '') AS titulo_norma, coalesce(array_to_string(metadatos.organismos, '|'), '') AS organismos,
+coalesce(metadatos.fecha_publicacion, '') AS fecha_publicacion, coalesce(metadatos.fecha_promulgacion, '') AS fecha_promulgacion, coalesce(metadatos.tipo_version_s, '') AS tipo_version_s,
+coalesce(metadatos.vigencia.inicio_vigencia, '') AS inicio_vigencia, coalesce(metadatos.vigencia.fin_vigencia, '') AS fin_vigencia, coalesce(metadatos.fuente, '') AS fuente, 'norma' AS tag FROM normas WHERE metadatos IS NOT NULL"""
+)
+def norm_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    return projections.statute_metadata(table(spark, sf, "normas")).withColumn("organismos", F.array_join("organismos", "|"))
+
+
+@query()
+def hit_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    return projections.hit_metadata(table(spark, sf, "contraloria"))
+
+
+@query(
+    """WITH x AS (SELECT row_id, doc_id, CASE WHEN json_valid(_source) THEN CASE WHEN json_type(_source) = 'VARCHAR' THEN json_extract_string(_source, '$') ELSE _source END END AS j FROM contraloria)
+SELECT row_id, coalesce(CASE WHEN json_valid(j) THEN json_extract_string(j, '$.idSentence') END, doc_id) AS "idSentence", CASE WHEN json_valid(j) THEN json_extract_string(j, '$.criterio') END AS criterio FROM x"""
+)
+def spread_override(spark: SparkSession, sf: str) -> DataFrame:
+    """The hit's own members win over those that are added."""
+    hits = projections.hit_metadata(table(spark, sf, "contraloria"), keep=("row_id",))
+    return hits.select("row_id", "idSentence", F.col("fields")["criterio"].alias("criterio"))
+
+
+@query("SELECT row_id, id || '.json' AS filename, '/path/to/' || id || '.json' AS file_path, (length(texto_sentencia) + length(regexp_replace(texto_sentencia, '[^\\x{10000}-\\x{10FFFF}]', '', 'g')))::BIGINT AS file_size FROM sentencias")
+def relational_row(spark: SparkSession, sf: str) -> DataFrame:
+    return projections.row_form(table(spark, sf, "sentencias"), "id", F.lower("base"), F.col("texto_sentencia"), keep=("row_id",)).select("row_id", "filename", "file_path", "file_size")
+
+
+# --- filters and joins ---------------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT row_id FROM sentencias WHERE length({_trim('texto_sentencia')}) > 0")
+def filter_nonblank(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "sentencias").filter(~S.is_blank(F.col("texto_sentencia"))).select("row_id")
+
+
+@query("SELECT doc_id, id, collection FROM documents WHERE batch_no = (SELECT max(batch_no) FROM documents) AND id NOT IN (SELECT id FROM documents WHERE batch_no < (SELECT max(batch_no) FROM documents) AND id IS NOT NULL)")
+def insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
+    """The last batch without what earlier batches delivered under the same id."""
+    docs = table(spark, sf, "documents").select("doc_id", "id", "collection", "batch_no")
+    last = docs.agg(F.max("batch_no")).first()[0]
+    return dedup.absent(docs.filter(F.col("batch_no") == last), docs.filter(F.col("batch_no") < last), "id").select("doc_id", "id", "collection")
+
+
+@query("SELECT d.doc_id FROM documents d WHERE d.id IN (SELECT collection || '-' || s.id FROM (SELECT lower(base) AS collection, id FROM sentencias) s)")
+def already_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents whose origin is a ruling that the rulings' table holds."""
+    known = table(spark, sf, "sentencias").select(F.concat_ws("-", F.lower("base"), "id").alias("id"))
+    return dedup.present(table(spark, sf, "documents").select("doc_id", "id"), known, "id").select("doc_id")
+
+
+@query("SELECT row_id, id FROM sentencias WHERE id IS NULL OR row_id IN (SELECT min(row_id) FROM sentencias WHERE id IS NOT NULL GROUP BY id)")
+def dedup_by_key(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup.first_arrivals(table(spark, sf, "sentencias").select("row_id", "id"), "id", "row_id")
+
+
+@query("SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY md5(text)")
+def dedup_by_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact copies by digest; texts are not shuffled."""
+    return table(spark, sf, "documents").groupBy(F.md5(F.col("text").cast("binary")).alias("h")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")).drop("h")
+
+
+@query("SELECT s.row_id, b.id_buscador, b.referer FROM sentencias s JOIN bases b ON lower(s.base) = b.base")
+def lookup_dim(spark: SparkSession, sf: str) -> DataFrame:
+    """Unknown bases are rejected. The dimension has nine rows."""
+    return table(spark, sf, "sentencias").withColumn("base", F.lower("base")).join(F.broadcast(table(spark, sf, "bases")), "base").select("row_id", "id_buscador", "referer")
+
+
+@query("SELECT n.n_name, r.r_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey")
+def lookup_region(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "nation").join(F.broadcast(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name")
+
+
+@query("SELECT event_id FROM events WHERE hour(ts) >= 0 AND hour(ts) < 6")
+def blackout_hours(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").filter((F.hour("ts") >= 0) & (F.hour("ts") < 6)).select("event_id")
+
+
+# --- aggregations --------------------------------------------------------------------------------------------------------
+
+_FACETS = "WITH m AS (SELECT * FROM normas WHERE metadatos IS NOT NULL), f AS (" + " UNION ALL ".join(
+    [f"SELECT row_id, '{n}' AS facet, coalesce({e}, '') AS value FROM m" for n, e in (("id", "id_norm::VARCHAR"), ("fecha_publicacion", "metadatos.fecha_publicacion"), ("fecha_promulgacion", "metadatos.fecha_promulgacion"), ("titulo_norma", "metadatos.titulo_norma"), ("fuente", "metadatos.fuente"), ("inicio_vigencia", "metadatos.vigencia.inicio_vigencia"), ("fin_vigencia", "metadatos.vigencia.fin_vigencia"), ("tipo_version_s", "metadatos.tipo_version_s"))]
+    + ["SELECT row_id, 'compuesto', coalesce(t.compuesto, '') FROM (SELECT row_id, unnest(metadatos.tipos_numeros) AS t FROM m)", "SELECT row_id, 'organismos', coalesce(o, '') FROM (SELECT row_id, unnest(metadatos.organismos) AS o FROM m)"]
+) + ")"
+
+
+@query(f"{_FACETS} SELECT facet, value, count(*) AS n, min(row_id) AS first_seen FROM f GROUP BY facet, value")
+def facet_first_seen(spark: SparkSession, sf: str) -> DataFrame:
+    return facets.statute_facets(table(spark, sf, "normas"))
+
+
+@query(f"{_FACETS} SELECT facet, string_agg(value, '|' ORDER BY first_seen, value) AS list FROM (SELECT facet, value, min(row_id) AS first_seen FROM f GROUP BY facet, value) GROUP BY facet")
+def facet_lists(spark: SparkSession, sf: str) -> DataFrame:
+    return facets.lists(facets.statute_facets(table(spark, sf, "normas"))).select("facet", F.array_join("values", "|").alias("list"))
+
+
+@query("SELECT source, collection, count(*) AS n, min(doc_id) AS first_seen FROM documents GROUP BY source, collection")
+def facet_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").groupBy("source", "collection").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_seen"))
+
+
+@query("SELECT value, min(o) AS first_seen FROM (SELECT gls_juz_s AS value, row_id AS o FROM sentencias WHERE gls_juz_s IS NOT NULL UNION ALL SELECT source, doc_id + 1000000000 FROM documents WHERE source IS NOT NULL) GROUP BY value")
+def union_facets(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs' facets, the first run's before the second's."""
+    old = table(spark, sf, "sentencias").filter("gls_juz_s is not null").select(F.lit("court").alias("facet"), F.col("gls_juz_s").alias("value"), F.lit(1).alias("n"), F.col("row_id").alias("first_seen"))
+    new = table(spark, sf, "documents").filter("source is not null").select(F.lit("court").alias("facet"), F.col("source").alias("value"), F.lit(1).alias("n"), (F.col("doc_id") + 1000000000).alias("first_seen"))
+    return facets.merge(old, new).select("value", "first_seen")
+
+
+@query("SELECT count(DISTINCT id) AS ids FROM documents")
+def distinct_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").agg(F.count_distinct("id").alias("ids"))
+
+
+_OUTCOME = f"""o AS (SELECT s.lote, s.ingested_at, CASE WHEN {_trim('s.texto_sentencia')} = '' OR s.texto_sentencia IS NULL THEN 'error' WHEN s.id IS NOT NULL AND f.first IS DISTINCT FROM s.row_id THEN 'duplicate' ELSE 'success' END AS outcome
+FROM sentencias s LEFT JOIN (SELECT id, min(row_id) AS first FROM sentencias GROUP BY id) f ON s.id = f.id)"""
+
+
+def _outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "sentencias").select("row_id", "id", "lote", "ingested_at", S.is_blank(F.col("texto_sentencia")).alias("blank"))
+    first = rows.filter("id is not null").groupBy("id").agg(F.min("row_id").alias("first"))
+    outcome = F.when(F.col("blank"), "error").when(F.col("id").isNotNull() & (F.col("first") != F.col("row_id")), "duplicate").otherwise("success")
+    return rows.join(first, "id", "left").select("lote", "ingested_at", outcome.alias("outcome"))
+
+
+@query(
+    f"""WITH {_OUTCOME}, b AS (SELECT lote, count(*) AS n, count(*) FILTER (outcome = 'success') AS success, count(*) FILTER (outcome = 'duplicate') AS duplicates, count(*) FILTER (outcome = 'error') AS errors FROM o GROUP BY lote)
+SELECT *, (sum(n) OVER (ORDER BY lote))::BIGINT AS processed FROM b"""
+)
+def batch_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Only one row for each batch goes through the running total."""
+    b = _outcomes(spark, sf).groupBy("lote").agg(F.count("*").alias("n"), *(F.count_if(F.col("outcome") == o).alias(a) for o, a in (("success", "success"), ("duplicate", "duplicates"), ("error", "errors"))))
+    return b.withColumn("processed", F.sum("n").over(Window.orderBy("lote")))
+
+
+@query(
+    """WITH b AS (SELECT lote, count(*) AS n, max(epoch_us(ingested_at)) AS t FROM sentencias GROUP BY lote),
+d AS (SELECT *, t - lag(t) OVER (ORDER BY lote) AS us, sum(n) OVER (ORDER BY lote) AS done, sum(n) OVER () AS total FROM b)
+SELECT lote, n, round(CASE WHEN us <> 0 THEN n / (us / 86400000000.0) END, 4) AS docs_per_day, round((total - done) * 1.0 / done, 4) AS rest FROM d"""
+)
+def batch_rates(spark: SparkSession, sf: str) -> DataFrame:
+    b = table(spark, sf, "sentencias").groupBy("lote").agg(F.count("*").alias("n"), F.max(F.unix_micros(F.col("ingested_at").cast("timestamp"))).alias("t"))
+    w = Window.orderBy("lote")
+    d = b.withColumns({"us": F.col("t") - F.lag("t").over(w), "done": F.sum("n").over(w), "total": F.sum("n").over(Window.partitionBy())})
+    return d.select("lote", "n", F.round(F.try_divide(F.col("n"), F.col("us") / 86400000000.0), 4).alias("docs_per_day"), F.round(F.try_divide(F.col("total") - F.col("done"), F.col("done")), 4).alias("rest"))
+
+
+@query("SELECT feed_id, count(*) AS n, CASE WHEN count(*) > 5000 THEN 'HEAVY' WHEN count(*) > 500 THEN 'MEDIUM' ELSE 'LIGHT' END AS tier, CASE WHEN count(*) > 5000 THEN 100 WHEN count(*) > 500 THEN 75 ELSE 50 END AS batch_size FROM archivos GROUP BY feed_id")
+def tier_config(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "archivos").groupBy("feed_id").agg(F.count("*").alias("n")).withColumn("t", projections.load_tier(F.col("n"))).select("feed_id", "n", "t.tier", "t.batch_size")
+
+
+@query("SELECT source, count(*) AS n, CASE WHEN count(*) >= 100 THEN 'excellent' WHEN count(*) >= 60 THEN 'good' WHEN count(*) >= 30 THEN 'moderate' ELSE 'slow' END AS class FROM documents GROUP BY source")
+def throughput_class(spark: SparkSession, sf: str) -> DataFrame:
+    n = F.col("n")
+    return table(spark, sf, "documents").groupBy("source").agg(F.count("*").alias("n")).withColumn("class", F.when(n >= 100, "excellent").when(n >= 60, "good").when(n >= 30, "moderate").otherwise("slow"))
+
+
+# --- running state -------------------------------------------------------------------------------------------------------
+
+_RUNS = "r AS (SELECT event_id, event_type = 'error' AS bad, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER (ORDER BY event_id) AS g FROM events), c AS (SELECT event_id, sum(bad::INT) OVER (PARTITION BY g ORDER BY event_id) AS run FROM r)"
+
+
+@query(f"WITH {_RUNS} SELECT event_id, run::BIGINT AS run FROM c WHERE run >= 3")
+def error_budget(spark: SparkSession, sf: str) -> DataFrame:
+    """Events at which at least three in a row have failed."""
+    return runstate.failures(table(spark, sf, "events").select("event_id", "event_type"), "event_id", F.col("event_type") == "error").filter("run >= 3").select("event_id", "run")
+
+
+@query(f"WITH {_RUNS}, p AS (SELECT *, (row_number() OVER (ORDER BY event_id) - 1) // 50 AS page_no FROM c) SELECT page_no::BIGINT AS page_no, max_by(run, event_id)::BIGINT AS run FROM p GROUP BY page_no HAVING max_by(run, event_id) >= 2")
+def error_budget_paged(spark: SparkSession, sf: str) -> DataFrame:
+    return runstate.stop_page(table(spark, sf, "events").select("event_id", "event_type"), "event_id", F.col("event_type") == "error", 50, 2)
+
+
+@query("SELECT event_id, ((row_number() OVER (ORDER BY event_id) - 1) // 100)::BIGINT AS pause_no FROM events")
+def throttle_points(spark: SparkSession, sf: str) -> DataFrame:
+    return runstate.ranked(table(spark, sf, "events").select("event_id"), "event_id").select("event_id", F.floor((F.col("rn") - 1) / 100).alias("pause_no"))
+
+
+@query("SELECT doc_id, collection FROM documents ORDER BY doc_id LIMIT 50 OFFSET 50")
+def page_slice(spark: SparkSession, sf: str) -> DataFrame:
+    """The second page of fifty; Spark keeps only offset + limit rows of each task."""
+    return table(spark, sf, "documents").select("doc_id", "collection").orderBy("doc_id").offset(50).limit(50)
+
+
+# --- text ----------------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT row_id, md5(regexp_replace(html, '(?i)<span[^>]*>.*?</span>', '', 'g')) AS h FROM normas")
+def drop_span(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "normas").select("row_id", F.md5(S.drop_spans(F.col("html")).cast("binary")).alias("h"))
+
+
+@query("""SELECT row_id, md5(regexp_replace(html, '(?is)<div[^>]*class=["'']?n rnp["'']?[^>]*>.*?</div>', '', 'g')) AS h FROM (SELECT row_id, replace(html, '\\"', '"') AS html FROM normas)""")
+def drop_div_class(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "normas").select("row_id", F.md5(S.drop_notes(F.replace(F.col("html"), F.lit('\\"'), F.lit('"'))).cast("binary")).alias("h"))
+
+
+@query("SELECT row_id, md5(regexp_replace(html, '(?i)<a[^>]*>(.*?)</a>', '\\1', 'g')) AS h FROM normas")
+def unwrap_anchor(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "normas").select("row_id", F.md5(S.unwrap_links(F.col("html")).cast("binary")).alias("h"))
+
+
+@query(f"SELECT row_id, md5({_trim("regexp_replace(coalesce(html, ''), '</?[^>]+(>|$)', '', 'g')")}) AS h FROM normas")
+def strip_tags(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "normas").select("row_id", F.md5(S.strip_tags(F.col("html")).cast("binary")).alias("h"))
+
+
+@query()
+def statute_text(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "normas").withColumn("s", html.statute_text(F.col("html"))).select("row_id", "id_norm", "s.markup", "s.text")
+
+
+@query(
+    """WITH RECURSIVE x AS (SELECT doc_id, text, greatest(1, ceil((length(text) - 80) / 720.0))::BIGINT AS k FROM documents)
+SELECT doc_id, i AS chunk_index, k AS total_chunks, md5(substr(text, (i * 720 + 1)::BIGINT, 800)) AS h FROM (SELECT doc_id, text, k, unnest(range(k)) AS i FROM x)"""
+)
+def chunk_fixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows of 800 characters, each repeating 80 of the one before."""
+    k = F.greatest(F.lit(1), F.ceil((F.length("text") - 80) / F.lit(720.0))).cast("bigint")
+    rows = table(spark, sf, "documents").select("doc_id", "text", k.alias("total_chunks")).withColumn("chunk_index", F.explode(F.sequence(F.lit(0), F.col("total_chunks") - 1)))
+    return rows.select("doc_id", "chunk_index", "total_chunks", F.md5(F.col("text").substr((F.col("chunk_index") * 720 + 1).cast("int"), F.lit(800)).cast("binary")).alias("h"))
+
+
+@query()
+def chunk_recursive(spark: SparkSession, sf: str) -> DataFrame:
+    return html.chunked(table(spark, sf, "documents").select("doc_id", "text"), "text")
+
+
+@query()
+def embed_text(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors.embed(table(spark, sf, "documents").select("doc_id", "text"), "text").drop("text")
+
+
+@query()
+def index_points(spark: SparkSession, sf: str) -> DataFrame:
+    chunks = html.chunked(table(spark, sf, "documents").select("doc_id", "text"), "text")
+    return vectors.points(chunks, "doc_id", "chunk_index", "chunk")
+
+
+@query("SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events")
+def json_props(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+
+
+@query("WITH x AS (SELECT feed_id, file_no, CASE WHEN json_valid(payload) THEN json_type(CASE WHEN json_valid(payload) THEN payload ELSE '0' END) = 'OBJECT' ELSE false END AS ok FROM archivos) SELECT feed_id, file_no, count(*) FILTER (ok) AS good, count(*) FILTER (NOT ok) AS bad FROM x GROUP BY feed_id, file_no")
+def bad_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Well-formed payloads and the others, for each landed file."""
+    good = F.coalesce(F.schema_of_variant(F.try_parse_json("payload")).startswith("OBJECT"), F.lit(False))
+    return table(spark, sf, "archivos").groupBy("feed_id", "file_no").agg(F.count_if(good).alias("good"), F.count_if(~good).alias("bad"))
+
+
+@query("SELECT row_id, coalesce(nullif(try_cast(nullif(regexp_extract(rol, '^\\s*([+-]?\\d+)', 1), '') AS BIGINT), 0), 1) AS n FROM (SELECT row_id, regexp_replace(coalesce(rol_era_sup_s, rol_era_ape_s), '^[A-Z]-', '') AS rol FROM sentencias)")
+def parse_roles(spark: SparkSession, sf: str) -> DataFrame:
+    rol = F.regexp_replace(F.coalesce("rol_era_sup_s", "rol_era_ape_s"), "^[A-Z]-", "")
+    return table(spark, sf, "sentencias").select("row_id", S.parse_int(rol, 1).alias("n"))
+
+
+@query("SELECT row_id, (length(t) + length(regexp_replace(t, '[^\\x{10000}-\\x{10FFFF}]', '', 'g')))::BIGINT AS units FROM (SELECT row_id, texto_sentencia AS t FROM sentencias)")
+def text_units(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "sentencias").select("row_id", S.utf16_length(F.col("texto_sentencia")).alias("units"))
+
+
+@query("SELECT event_id, floor(value + 0.5)::BIGINT AS rounded FROM events")
+def round_values(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").select("event_id", S.js_round(F.col("value")).alias("rounded"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in problems.QUERIES}
+    return {**_Q, **{f.__name__: f for f in problems.QUERIES}}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
