@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from legajo.llm import fold
+from legajo.session import materialise, shared_folder
 
 
 def _texts(batch: pa.RecordBatch, name: str) -> list[str | None]:
@@ -89,7 +90,8 @@ def look_alikes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     texts is lost and exact copies grow the result only in proportion. Null and blank texts and null ids have no pairs,
     repeated rows of one id with one text count once, an empty table gives none.
     """
-    found = looks(df, id_col, text_col)
+    # The digests are used twice; written out, they are made once.
+    found = materialise(looks(df, id_col, text_col), shared_folder(df.sparkSession), "looks")
     kinds = variants(found)
     other = kinds.select(F.col("look"), F.col("chars").alias("other_chars"), F.col("first"))
     return (
