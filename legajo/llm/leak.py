@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ WINDOW = 15
 #: Window hashes of the evaluation set that a task may hold; a larger set is tested by a bit table of fixed size first.
 MAX_HASHES = 1 << 22
 FILTER_BITS = 1 << 27
+#: Characters of evaluation texts that are looked for in one pass over the documents.
+BLOCK_CHARS = 1 << 24
 
 # Words that measure or count something, in the languages of the corpus.
 UNITS = set(
@@ -162,15 +165,35 @@ def _filter(hashes: np.ndarray):
     return maybe
 
 
+def _blocks(items: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
+    """The evaluation texts in blocks of at most BLOCK_CHARS characters (or one text)."""
+    rows: list[tuple[int, str]] = []
+    size = 0
+    for i, text in items.select(F.col(item_col).cast("bigint"), text_col).toLocalIterator():
+        if i is None or not text:
+            continue
+        if rows and size + len(text) > BLOCK_CHARS:
+            yield rows
+            rows, size = [], 0
+        rows.append((i, text))
+        size += len(text)
+    yield rows
+
+
 def leaks(docs: DataFrame, items: DataFrame, doc_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """(doc, item, kind, windows): documents that share template windows with evaluation items.
 
     ``kind`` is ``verbatim`` (slots equal), ``reparameterised`` (slots differ by a one-to-one substitution) or ``template``
-    (slots contradict each other); ``windows`` counts the windows of that kind. The evaluation set is read by the driver: it
-    is a set of test items, not a corpus. Windows of documents leave a task only where some item has them. Null and short
-    texts and null ids have no windows, repeated rows of an id count together, empty tables give none.
+    (slots contradict each other); ``windows`` counts the windows of that kind. The evaluation items are a stated query set:
+    the driver reads them in blocks of a fixed size, each of which goes to the tasks. Windows of documents leave a task only
+    where some item has them. Null and short texts and null ids have no windows, repeated rows of an id count together, empty
+    tables give none.
     """
-    rows = [(r[0], r[1]) for r in items.select(F.col(item_col).cast("bigint"), text_col).toLocalIterator() if r[0] is not None and r[1]]
+    parts = [_leaks(docs, rows, doc_col, item_col, text_col, window) for rows in _blocks(items, item_col, text_col)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _leaks(docs: DataFrame, rows: list[tuple[int, str]], doc_col: str, item_col: str, text_col: str, window: int) -> DataFrame:
     names, others = names_of([t for _, t in rows])
     mine = _rows([i for i, _ in rows], [t for _, t in rows], _Codes(names, others), window, lambda h: np.ones(len(h), bool))
     keep = _filter(mine.column("hash").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
@@ -198,4 +221,4 @@ def leaks(docs: DataFrame, items: DataFrame, doc_col: str = "doc_id", item_col:
 
 def verbatim(found: DataFrame, doc_col: str = "doc_id", item_col: str = "item_id") -> DataFrame:
     """The pairs that share at least one window word by word."""
-    return found.filter("kind = 'verbatim'").select(doc_col, item_col)
+    return found.filter("kind = 'verbatim'").select(doc_col, item_col).distinct()
