@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from legajo.operators.nested import parse
+from legajo.session import materialise, shared_folder
 
 #: Values that a field's sketch keeps: those of the records with the least key hashes, the same records in every file.
 SKETCH = 1024
+SALT = 64
 #: Share of common records whose values must agree for a rename.
 AGREE = 0.5
 _ATOM = re.compile(r"[^\W\d_]+|\d+")
@@ -52,9 +54,23 @@ def profile(records: DataFrame, payload_col: str = "payload", feed_col: str = "f
     file they saw, so a hot feed is combined before the shuffle.
     """
 
+    def rows(seen: dict[tuple, list]) -> pa.RecordBatch:
+        keys = list(seen)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([k[0] for k in keys], pa.string()),
+                pa.array([k[1] for k in keys], pa.int32()),
+                pa.array([k[2].encode("utf-8", "replace").decode() for k in keys], pa.string()),
+                pa.array([sorted(seen[k][0]) for k in keys], pa.list_(pa.string())),
+                pa.array([seen[k][1] for k in keys], pa.int64()),
+                pa.array([[{"key": a, "value": b} for a, b in sorted(seen[k][2].items())[:SKETCH]] for k in keys], pa.list_(pa.struct([("key", pa.int64()), ("value", pa.int64())]))),
+            ],
+            ["feed", "file", "field", "kinds", "n", "sketch"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[tuple, list] = {}
         for batch in batches:
-            seen: dict[tuple, list] = {}
             for feed, file, text in zip(*(batch.column(c).to_pylist() for c in ("feed", "file", "p"))):
                 record = parse(text)
                 if not isinstance(record, dict):
@@ -68,26 +84,27 @@ def profile(records: DataFrame, payload_col: str = "payload", feed_col: str = "f
                         entry[0].add(_KINDS[type(value)])
                         if mark is not None and (h := _value_hash(value)) is not None:
                             entry[2][mark] = h
-            keys = list(seen)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([k[0] for k in keys], pa.string()),
-                    pa.array([k[1] for k in keys], pa.int32()),
-                    pa.array([k[2].encode("utf-8", "replace").decode() for k in keys], pa.string()),
-                    pa.array([sorted(seen[k][0]) for k in keys], pa.list_(pa.string())),
-                    pa.array([seen[k][1] for k in keys], pa.int64()),
-                    pa.array([[{"key": a, "value": b} for a, b in sorted(seen[k][2].items())[:SKETCH]] for k in keys], pa.list_(pa.struct([("key", pa.int64()), ("value", pa.int64())]))),
-                ],
-                ["feed", "file", "field", "kinds", "n", "sketch"],
-            )
+                            if len(entry[2]) > 4 * SKETCH:
+                                entry[2] = dict(sorted(entry[2].items())[:SKETCH])
+            if len(seen) > 20_000:
+                yield rows(seen)
+                seen = {}
+        yield rows(seen)
 
     parts = records.select(F.col(feed_col).alias("feed"), F.col(file_col).cast("int").alias("file"), F.col(payload_col).alias("p")).mapInArrow(
         run, "feed string, file int, field string, kinds array<string>, n bigint, sketch array<struct<key:bigint,value:bigint>>"
     )
-    merged = parts.groupBy("feed", "file", "field").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("kinds")))).alias("kinds"), F.sum("n").alias("n"), F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("sketch")))), 1, SKETCH).alias("sketch")
-    )
-    return merged
+
+    def combined(df: DataFrame, *by: str) -> DataFrame:
+        return df.groupBy(*by).agg(
+            F.array_sort(F.array_distinct(F.flatten(F.collect_set("kinds")))).alias("kinds"),
+            F.sum("n").alias("n"),
+            F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("sketch")))), 1, SKETCH).alias("sketch"),
+        )
+
+    # In two steps, so that a file that many tasks saw gathers SALT sketches at most.
+    salted = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALT)))
+    return combined(combined(salted, "feed", "file", "field", "salt"), "feed", "file", "field")
 
 
 def match(cost: np.ndarray) -> list[tuple[int, int]]:
@@ -156,14 +173,19 @@ def changes(profiles: DataFrame) -> DataFrame:
     Files without any well-formed record are passed over. Only vanished and new fields of a pair of files are gathered for
     matching, which are as many as a file has fields at most.
     """
+    # Profiles and what differs are small and used several times; written out, they are made once.
+    folder = shared_folder(profiles.sparkSession)
+    profiles = materialise(profiles, folder, "profiles")
     files = profiles.select("feed", "file").distinct()
     pairs = files.withColumn("before", F.lag("file").over(Window.partitionBy("feed").orderBy("file"))).filter("before is not null")
     now = profiles.join(pairs.select("feed", "file"), ["feed", "file"]).select("feed", "file", "field", F.col("kinds").alias("kinds_b"), F.col("sketch").alias("sketch_b"))
     then = profiles.withColumnRenamed("file", "before").join(pairs, ["feed", "before"]).select("feed", "file", "field", F.col("kinds").alias("kinds_a"), F.col("sketch").alias("sketch_a"))
-    both = then.join(now, ["feed", "file", "field"], "full")
+    both = materialise(then.join(now, ["feed", "file", "field"], "full"), folder, "both")
     gone, new = F.col("kinds_b").isNull(), F.col("kinds_a").isNull()
     loose = both.filter(gone | new).select("feed", "file", "field", gone.alias("gone"), F.coalesce("kinds_a", "kinds_b").alias("kinds"), F.coalesce("sketch_a", "sketch_b").alias("sketch"))
-    renamed = loose.groupBy("feed", "file").applyInPandas(_renames, "feed string, file int, old string, new string, retyped boolean")
+    # Only pairs of files with fields of both kinds have anything to match.
+    mixed = loose.groupBy("feed", "file").agg(F.count_if("gone").alias("a"), F.count_if(~F.col("gone")).alias("b")).filter("a > 0 and b > 0").select("feed", "file")
+    renamed = materialise(loose.join(mixed, ["feed", "file"], "left_semi").groupBy("feed", "file").applyInPandas(_renames, "feed string, file int, old string, new string, retyped boolean"), folder, "renamed")
     taken = renamed.select("feed", "file", F.explode(F.array("old", "new")).alias("field"))
     plain = loose.join(taken, ["feed", "file", "field"], "left_anti").select("feed", "file", F.col("field").alias("field_name"), F.when(F.col("gone"), "removed").otherwise("added").alias("change_kind"), F.lit("").alias("new_name"))
     retyped = both.filter(~gone & ~new & (F.col("kinds_a") != F.col("kinds_b"))).select("feed", "file", F.col("field").alias("field_name"), F.lit("type_changed").alias("change_kind"), F.lit("").alias("new_name"))
