@@ -94,7 +94,7 @@ def test_statute_markup():
     nodes = [node("<p>a<span>x</span></p>", [node("<a>b</a>"), None, node(h=[])]), node(), "s"]
     assert html.merged(nodes) == "<p>a</p>\nb"
     assert html.merged(None) == "" == html.merged("x")
-    assert html.plain_text("<p> x &amp; &lt;b&gt;&nbsp;</p> <tag") == "x & <b> "
+    assert html.plain_text("<p>\u00a0x &amp; &lt;b&gt;&nbsp;</p> <tag") == "x & <b>\u00a0"
     assert html.plain_text(None) == ""
 
 
