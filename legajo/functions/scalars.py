@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from decimal import ROUND_HALF_UP, Decimal
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -93,3 +96,49 @@ def cosine(a: Column, b: Column) -> Column:
 def quantise(v: Column, scale: Column) -> Column:
     """int8 values of a vector, clipped at ``scale``."""
     return F.transform(v, lambda x: F.greatest(F.lit(-127), F.least(F.lit(127), F.floor(x.cast("double") / scale * 127 + F.lit(0.5)))).cast("int"))
+
+
+# Small things that crawls and reports need.
+
+
+def to_fixed(x: Column, digits: int) -> Column:
+    """A number as text with so many digits, rounded by its exact binary value (1.005 gives 1.00), halves away from zero.
+
+    For figures of reports: Spark's own rounding goes by a double's shortest decimal form, so this is a Python function.
+    """
+    unit = Decimal(1).scaleb(-digits)
+
+    def fixed(part: pd.Series) -> pd.Series:
+        return part.map(lambda v: None if pd.isna(v) else str(Decimal(float(v)).quantize(unit, ROUND_HALF_UP)))
+
+    return F.pandas_udf(fixed, "string")(x)
+
+
+def backoff_ms(base_ms: int, attempt: Column) -> Column:
+    """The wait before an attempt, doubling from ``base_ms``."""
+    return (F.lit(base_ms) * F.pow(F.lit(2), attempt - 1)).cast("bigint")
+
+
+def form_token(html: Column) -> Column:
+    """The value of a page's hidden ``_token`` field; null where it has none."""
+    return F.nullif(F.regexp_extract(html, r"""name=["']_token["'][^>]*value=["']([^"']*)["']""", 1), F.lit(""))
+
+
+def cookie_map(header: Column) -> Column:
+    """The pairs of a cookie header; a value keeps its own equals signs."""
+    pairs = F.filter(F.transform(F.split(header, ";"), lambda p: F.trim(p)), lambda p: p.contains("="))
+    return F.map_from_entries(F.transform(pairs, lambda p: F.struct(F.substring_index(p, "=", 1).alias("k"), F.substring(p, F.instr(p, "=") + 1, F.length(p)).alias("v"))))
+
+
+def file_stamp(ts: Column) -> Column:
+    """A time as part of a file name: ISO 8601 with hyphens for colons and dots."""
+    return F.translate(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), ":.", "--")
+
+
+def throughput_class(per_minute: Column) -> Column:
+    return F.when(per_minute >= 100, "excellent").when(per_minute >= 60, "good").when(per_minute >= 30, "moderate").otherwise("slow")
+
+
+def is_critical(message: Column) -> Column:
+    """Errors of the connection, which end a run."""
+    return message.contains("ECONNREFUSED") | message.contains("timeout")

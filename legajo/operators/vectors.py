@@ -93,9 +93,9 @@ def search_many(points: DataFrame, queries: DataFrame, k: int = 5, threshold: fl
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 pid = batch.column("i").to_numpy(zero_copy_only=False)
-                v = np.array(batch.column("v").to_pylist(), np.float64)
-                if not len(v):
+                if not len(pid):
                     continue
+                v = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(len(pid), -1)
                 n = np.linalg.norm(v, axis=1)
                 sim = np.round((matrix @ v.T) / np.where(n > 0, n, np.inf), 4)
                 sim[ids[:, None] == pid[None, :]] = -np.inf
@@ -105,7 +105,7 @@ def search_many(points: DataFrame, queries: DataFrame, k: int = 5, threshold: fl
                 ok = sim[q, p] >= threshold
                 yield pa.RecordBatch.from_arrays([pa.array(ids[q][ok]), pa.array(pid[p][ok]), pa.array(sim[q, p][ok])], ["query_id", "i", "score"])
 
-        src = points.filter(F.col(vector_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("i"), F.col(vector_col).cast("array<double>").alias("v"))
+        src = points.filter(F.size(vector_col) == matrix.shape[1]).select(F.col(id_col).cast("bigint").alias("i"), F.col(vector_col).cast("array<double>").alias("v"))
         return src.mapInArrow(run, "query_id bigint, i bigint, score double")
 
     for r in queries.select(id_col, vector_col).filter(F.col(vector_col).isNotNull()).toLocalIterator():
@@ -120,6 +120,11 @@ def search_many(points: DataFrame, queries: DataFrame, k: int = 5, threshold: fl
     return best.select("query_id", F.posexplode("t").alias("pos", "t")).select("query_id", F.col("t.i").alias(id_col), (-F.col("t.s")).alias("score"), (F.col("pos") + 1).alias("rank"))
 
 
+def search_text(points: DataFrame, text: str, model: Model | None = None, **options: object) -> DataFrame:
+    """The points most similar to a text, by the model that made their vectors. Options as for ``search``."""
+    return search(points, [float(x) for x in (model or hash_model())([text])[0]], **options)
+
+
 def points(chunks: DataFrame, doc_col: str, index_col: str, text_col: str, model: Model | None = None) -> DataFrame:
     """Chunks with a vector and an id that follows from document and place, so that writing them again changes nothing."""
     return embed(chunks, text_col, model).withColumn("point_id", F.sha2(F.concat_ws(":", F.col(doc_col).cast("string"), F.col(index_col).cast("string")), 256))

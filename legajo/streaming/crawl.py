@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from legajo.functions.scalars import is_blank
 from legajo.operators import facets, html, projections, vectors
 from legajo.operators.dedup import insert_if_absent
 from legajo.sources import landed
@@ -73,3 +74,37 @@ def crawl_pages(spark: SparkSession, out: str, bases: list[str], **options: obje
     for base in bases:
         added[base] = insert_if_absent(rows.filter(F.col("collection") == base), f"{out}/documents", ["collection", "id"])
     return added
+
+
+def index_directory(spark: SparkSession, folder: str, out: str, checkpoint: str, done: str | None = None, text_field: str = "documento_completo", id_field: str = "doc_id", model: vectors.Model | None = None) -> DataFrame:
+    """Index the JSON files of a directory that no earlier run has taken; returns one row of figures for each micro-batch.
+
+    A file holds one document, as it is or as the ``_source`` of a hit. Files that aren't JSON, have no id or a blank text go
+    to ``<out>/errors`` with their content; the others to ``documents``, if their id is absent there, and to ``points``. With
+    ``done`` the stream moves files there after the batch that follows theirs; what went wrong is kept in ``errors``.
+    """
+    source = spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "*.json")
+    if done:
+        source = source.option("cleanSource", "archive").option("sourceArchiveDir", done)
+    files = source.load(folder).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("name"), "value")
+
+    def sink(df: DataFrame, number: int) -> None:
+        body = F.coalesce(F.get_json_object("value", "$._source"), F.when(F.try_parse_json("value").isNotNull(), F.col("value")))
+        rows = df.select("name", "value", F.get_json_object(body, f"$.{id_field}").alias("id"), F.get_json_object(body, f"$.{text_field}").alias("text"), body.alias("content")).persist()
+        try:
+            good = rows.filter(F.col("id").isNotNull() & ~is_blank(F.col("text")))
+            bad = rows.join(good.select("name"), "name", "left_anti").select("name", "value", F.when(F.col("content").isNull(), "not JSON").when(F.col("id").isNull(), "no id").otherwise("blank text").alias("message"))
+            added = insert_if_absent(good.select("id", "content", "text"), f"{out}/documents", ["id"])
+            chunks = html.chunked(good.select(F.col("id").alias("doc_id"), "text"), "text")
+            points = insert_if_absent(vectors.points(chunks, "doc_id", "chunk_index", "chunk", model), f"{out}/points", ["point_id"])
+            insert_if_absent(bad, f"{out}/errors", ["name"])
+            total = rows.count()
+            wrong = bad.count()
+            figures = spark.createDataFrame([(number, total, added, total - added - wrong, wrong, points)], "batch bigint, files bigint, success bigint, duplicates bigint, errors bigint, points bigint")
+            insert_if_absent(figures, f"{out}/batches", ["batch"])
+        finally:
+            rows.unpersist()
+
+    query = files.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.parquet(f"{out}/batches")

@@ -65,3 +65,21 @@ def test_request():
     fields = landed.search_request("t", 528, 50, 100, rol="1")
     assert json.loads(fields["filtros"])["rol"] == "1"
     assert landed.multipart({"a": "1"}, "B") == '--B\r\nContent-Disposition: form-data; name="a"\r\n\r\n1\r\n--B--'
+
+
+def test_index_directory(spark, tmp_path):
+    root = tmp_path / "in"
+    root.mkdir()
+    (root / "1.json").write_text(json.dumps({"_source": {"doc_id": "a", "documento_completo": "texto uno", "x": 1}}))
+    (root / "2.json").write_text(json.dumps({"doc_id": "b", "documento_completo": "texto dos"}))
+    (root / "3.json").write_text("{broken")
+    (root / "4.json").write_text(json.dumps({"doc_id": "c", "documento_completo": " \u00a0"}))
+    (root / "5.json").write_text(json.dumps({"documento_completo": "x"}))
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    row = crawl.index_directory(spark, str(root), out, ck).collect()
+    assert [(r.files, r.success, r.duplicates, r.errors, r.points) for r in row] == [(5, 2, 0, 3, 2)]
+    assert sorted((r.name, r.message) for r in spark.read.parquet(f"{out}/errors").collect()) == [("3.json", "not JSON"), ("4.json", "blank text"), ("5.json", "no id")]
+    (root / "6.json").write_text(json.dumps({"doc_id": "a", "documento_completo": "texto uno"}))
+    row = crawl.index_directory(spark, str(root), out, ck).orderBy("batch").collect()[-1]
+    assert (row.files, row.success, row.duplicates, row.points) == (1, 0, 1, 0)
+    assert sorted(r.id for r in spark.read.parquet(f"{out}/documents").collect()) == ["a", "b"]

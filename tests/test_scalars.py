@@ -50,3 +50,12 @@ def test_markup(spark, f, given, want):
 def test_cosine(spark):
     df = spark.createDataFrame([([1.0, 0.0], [2.0, 0.0]), ([1.0, 0.0], [0.0, 0.0]), (None, [1.0, 0.0])], "a array<float>, b array<float>")
     assert [r[0] for r in df.select(S.cosine(F.col("a"), F.col("b"))).collect()] == [1.0, None, None]
+
+
+def test_small_things(spark):
+    assert values(spark, lambda x: S.to_fixed(x, 2), 1.005, 0.125, -0.125, None, kind="double") == ["1.00", "0.13", "-0.13", None]
+    assert values(spark, lambda x: S.backoff_ms(2000, x), 1, 3, kind="int") == [2000, 8000]
+    assert values(spark, S.form_token, '<input name="_token" type="hidden" value="abc">', "<p>") == ["abc", None]
+    assert values(spark, S.cookie_map, "a=1; b=x=y; c") == [{"a": "1", "b": "x=y"}]
+    assert values(spark, S.throughput_class, 100.0, 60.0, 30.0, 1.0, kind="double") == ["excellent", "good", "moderate", "slow"]
+    assert values(spark, S.is_critical, "connect ECONNREFUSED", "x timeout", "other") == [True, True, False]
