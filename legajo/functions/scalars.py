@@ -18,7 +18,8 @@ def js_trim(x: Column) -> Column:
 
 def is_blank(x: Column) -> Column:
     """Null, empty or white space only; never null."""
-    return F.coalesce(F.length(js_trim(x)) == 0, F.lit(True))
+    # One character that is no space decides; trimming would go through the whole text.
+    return F.coalesce(~x.rlike("[^" + JS_SPACE[1:]), F.lit(True))
 
 
 def or_text(x: Column, default: str = "") -> Column:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from legajo.session import drop_folder  # noqa: F401
-
 
 def absent(new: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Rows of ``new`` whose key isn't among ``existing``; null keys are always absent."""
@@ -35,12 +34,22 @@ def insert_if_absent(df: DataFrame, path: str, keys: list[str]) -> int:
     spark: SparkSession = df.sparkSession
     new = df.dropDuplicates(keys)
     try:
-        old = spark.read.parquet(path)
-        new = new.join(old.select(*keys).distinct(), keys, "left_anti")
-        before = old.count()
-    except Exception as e:  # the table doesn't exist yet
+        new = new.join(spark.read.parquet(path).select(*keys).distinct(), keys, "left_anti")
+    except AnalysisException as e:  # the table doesn't exist yet
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        before = 0
-    new.write.mode("append").parquet(path)
-    return spark.read.parquet(path).count() - before
+    added = Observation()  # counted while it is written
+    new.observe(added, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    return added.get["n"]
+
+
+def keyset_page(df: DataFrame, key: str, after: object, n: int) -> DataFrame:
+    """The n rows that follow a key, in its order; ``after`` None gives the first page. Each task keeps n rows."""
+    rows = df if after is None else df.filter(F.col(key) > F.lit(after))
+    return rows.orderBy(key).limit(n)
+
+
+def add_ids(known: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
+    """The distinct ids of both, as text."""
+    text = F.col(key).cast("string").alias(key)
+    return known.select(text).unionByName(new.select(text)).filter(F.col(key).isNotNull()).distinct()

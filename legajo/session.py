@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -35,12 +36,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """A new folder that all executors share, below ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, local mode) a temporary folder of this machine is used.
+    Only where that setting is absent (tests, local mode) a temporary folder of this machine is used. Results may be read from
+    it until the program ends, when it is removed.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = os.path.join(tempfile.gettempdir(), "legajo-checkpoints")
-    return f"{base.rstrip('/')}/legajo-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/legajo-{uuid.uuid4().hex}"
+    atexit.register(_drop_quietly, spark, folder)
+    return folder
+
+
+def _drop_quietly(spark: SparkSession, folder: str) -> None:
+    try:
+        drop_folder(spark, folder)
+    except Exception:  # the session has ended; the folder stays
+        pass
 
 
 def materialise(df: DataFrame, folder: str, name: str) -> DataFrame:

@@ -67,12 +67,11 @@ def crawl_ids(spark: SparkSession, out: str, checkpoint: str, model: vectors.Mod
 def crawl_pages(spark: SparkSession, out: str, bases: list[str], **options: object) -> dict[str, int]:
     """Read the result pages of each base and insert the rulings that are absent; returns how many were added for each base."""
     landed.register(spark)
-    pages = spark.read.format("page_crawl").options(bases=",".join(bases), **{k: str(v) for k, v in options.items()}).load()
-    id_of = F.get_json_object("doc", "$.id")
-    rows = pages.filter("doc is not null").select(F.col("base").alias("collection"), id_of.alias("id"), F.col("doc").alias("content")).filter("id is not null")
     added = {}
     for base in bases:
-        added[base] = insert_if_absent(rows.filter(F.col("collection") == base), f"{out}/documents", ["collection", "id"])
+        pages = spark.read.format("page_crawl").options(bases=base, **{k: str(v) for k, v in options.items()}).load()
+        rows = pages.filter("doc is not null").select(F.col("base").alias("collection"), F.get_json_object("doc", "$.id").alias("id"), F.col("doc").alias("content")).filter("id is not null")
+        added[base] = insert_if_absent(rows, f"{out}/documents", ["collection", "id"])
     return added
 
 

@@ -152,3 +152,20 @@ def test_plans(spark):
 def test_load_tier(spark):
     df = spark.createDataFrame([(5001,), (501,), (500,)], "n int").select(projections.load_tier(F.col("n")).alias("t"))
     assert [r.t.batch_size for r in df.collect()] == [100, 75, 50]
+
+
+def test_pages_and_ids(spark):
+    df = spark.createDataFrame([(k,) for k in (5, 3, 9, 1)], "id bigint")
+    assert [r.id for r in dedup.keyset_page(df, "id", None, 2).collect()] == [1, 3]
+    assert [r.id for r in dedup.keyset_page(df, "id", 3, 2).collect()] == [5, 9]
+    assert sorted(r.id for r in dedup.add_ids(df, spark.createDataFrame([(1,), (2,), (None,)], "id int")).collect()) == ["1", "2", "3", "5", "9"]
+
+
+def test_scans_are_pruned(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a", "x" * 10, None)], "row_id bigint, id string, texto_sentencia string, other string").write.parquet(path)
+    df = spark.read.parquet(path)
+    plan = dedup.first_arrivals(df.select("row_id", "id"), "id", "row_id")._jdf.queryExecution().executedPlan().toString()
+    assert "texto_sentencia" not in plan
+    plan = df.filter("row_id > 3").select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(row_id), GreaterThan(row_id,3)]" in plan
