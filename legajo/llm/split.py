@@ -111,7 +111,7 @@ def split(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[i
         pieces = _balanced(text, units, n, limit, overlap)
         if pieces is not None:
             return pieces
-        n += 1
+        n += max(1, n // 64)  # one more; more at a time in very long texts
 
 
 def _balanced(text: str, units: _Units, n: int, limit: int, overlap: int) -> list[tuple[int, int, int, str]] | None:
