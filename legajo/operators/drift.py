@@ -9,6 +9,7 @@ from __future__ import annotations
 import difflib
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,8 +42,17 @@ def atoms(value: object) -> list[str]:
     return [a.lstrip("0") or "0" for a in _ATOM.findall(str(value).lower())]
 
 
+def _bare(value: object) -> list[str]:
+    """What stands for a value without words and numbers: booleans, and strings of signs."""
+    if isinstance(value, list):
+        return [a for v in value for a in _bare(v)]
+    if isinstance(value, dict):
+        return [a for v in value.values() for a in _bare(v)]
+    return [a] if value is not None and (a := str(value).strip().lower()) else []
+
+
 def _value_hash(value: object) -> int | None:
-    found = sorted(atoms(value))
+    found = sorted(atoms(value) or _bare(value))
     return xxhash.xxh3_64_intdigest(" ".join(found)) >> 1 if found else None
 
 
@@ -148,6 +158,11 @@ def likeness(old: dict, new: dict) -> float:
     else:
         x, y = set(a.values()), set(b.values())
         content = len(x & y) / min(len(x), len(y)) if x and y else 0.0
+    if common and content < 1 and "boolean" in {*old["kinds"], *new["kinds"]}:
+        # Two values agree often by chance; only what is beyond counts.
+        x, y = (Counter(f[k] for k in common) for f in (a, b))
+        chance = sum(n * y[v] for v, n in x.items()) / len(common) ** 2
+        content = (content - chance) / (1 - chance) if chance < 1 else 0.0
     if content < AGREE:
         return 0.0
     kinds = len(set(old["kinds"]) & set(new["kinds"])) / max(1, len(set(old["kinds"]) | set(new["kinds"])))

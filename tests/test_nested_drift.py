@@ -96,3 +96,9 @@ def test_unify(spark):
     out = drift.unify(rows, drift.changes(drift.profile(rows))).orderBy("rec_id").collect()
     assert [r.fields.get("old") for r in out] == [["v 1"], ["v 2"], ["v 1"], None, ["v 1"], None]
     assert all("new" not in r.fields for r in out)
+
+
+def test_renames_of_booleans_and_signs(spark):
+    a = [{"id": str(k), "open": k % 3 == 0, "mark": "+-*"[k % 3], "late": k % 2 == 0} for k in range(12)]
+    b = [{"id": str(k), "is_open": k % 3 == 0, "sign": ["+-*"[k % 3]], "other": k < 6} for k in range(12)]
+    assert changes(spark, a, b) == [(2, "late", "removed", ""), (2, "mark", "renamed", "sign"), (2, "open", "renamed", "is_open"), (2, "other", "added", ""), (2, "sign", "type_changed", "")]
