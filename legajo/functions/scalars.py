@@ -60,26 +60,32 @@ def first_of(x: Column, field: str) -> Column:
     return or_text(F.try_element_at(x, F.lit(1))[field])
 
 
-# Markup rules, in the order in which they are applied.
+# Markup rules, in the order in which they are applied. The patterns are fixed values: what they match must match alike. They are
+# written so that Java and Python read them the same way; "any character" is any but JavaScript's line ends.
+_ANY = "[^\\n\\r\\u2028\\u2029]"
+SPAN = rf"(?i)<span[^>]*>{_ANY}*?</span>"
+NOTE = r"""(?is)<div[^>]*class=["']?n rnp["']?[^>]*>.*?</div>"""
+LINK = rf"(?i)<a[^>]*>({_ANY}*?)</a>"
+TAG = r"</?[^>]+(?:>|$)"
 
 
 def drop_spans(x: Column) -> Column:
-    return F.regexp_replace(x, r"(?i)<span[^>]*>.*?</span>", "")
+    return F.regexp_replace(x, SPAN, "")
 
 
 def drop_notes(x: Column) -> Column:
     """Blocks whose class holds ``n rnp``, over line ends too."""
-    return F.regexp_replace(x, r"""(?is)<div[^>]*class=["']?n rnp["']?[^>]*>.*?</div>""", "")
+    return F.regexp_replace(x, NOTE, "")
 
 
 def unwrap_links(x: Column) -> Column:
     """Keep what links enclose. Any tag that begins with an a is taken for a link."""
-    return F.regexp_replace(x, r"(?i)<a[^>]*>(.*?)</a>", "$1")
+    return F.regexp_replace(x, LINK, "$1")
 
 
 def strip_tags(x: Column) -> Column:
     """Tags and an unclosed rest; null gives ''. White space at the ends goes after the tags, before entities are decoded."""
-    return js_trim(F.regexp_replace(F.coalesce(x, F.lit("")), r"</?[^>]+(>|\z)", ""))
+    return js_trim(F.regexp_replace(F.coalesce(x, F.lit("")), TAG.replace("$", r"\z"), ""))
 
 
 # Vectors.
@@ -131,9 +137,14 @@ def cookie_map(header: Column) -> Column:
     return F.map_from_entries(F.transform(pairs, lambda p: F.struct(F.substring_index(p, "=", 1).alias("k"), F.substring(p, F.instr(p, "=") + 1, F.length(p)).alias("v"))))
 
 
+def iso_stamp(ts: Column) -> Column:
+    """A time as ISO 8601 in UTC with milliseconds, as ``toISOString`` writes it."""
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
 def file_stamp(ts: Column) -> Column:
     """A time as part of a file name: ISO 8601 with hyphens for colons and dots."""
-    return F.translate(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), ":.", "--")
+    return F.translate(iso_stamp(ts), ":.", "--")
 
 
 def throughput_class(per_minute: Column) -> Column:
@@ -143,3 +154,18 @@ def throughput_class(per_minute: Column) -> Column:
 def is_critical(message: Column) -> Column:
     """Errors of the connection, which end a run."""
     return message.contains("ECONNREFUSED") | message.contains("timeout")
+
+
+def random_delay_ms(seed: int | None = None, least: int = 1000, span: int = 9000) -> Column:
+    """A wait of ``least`` to ``least + span - 1`` milliseconds."""
+    return (F.floor((F.rand(seed) if seed is not None else F.rand()) * span) + least).cast("bigint")
+
+
+def session_expired(now: Column, started: Column, ttl_ms: int = 6_000_000) -> Column:
+    """Whether a session of a remote site is too old to be used again; a session that never began is."""
+    return F.coalesce(F.unix_millis(now) - F.unix_millis(started) > ttl_ms, F.lit(True))
+
+
+def cache_stale(size: Column, total: Column, slack: int = 1000) -> Column:
+    """Whether a cache of ids must be read anew: it is empty, or far from the number that the index tells."""
+    return F.coalesce(size == 0, F.lit(True)) | F.coalesce(F.abs(size - total) > slack, F.lit(False))

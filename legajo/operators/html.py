@@ -10,33 +10,42 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from legajo.functions.scalars import LINK, NOTE, SPAN, TAG
 from legajo.operators.nested import _held, parse
 
-_ANY = "[^\\n\\r\\u2028\\u2029]"
-_SPAN = re.compile(rf"<span[^>]*>{_ANY}*?</span>", re.I)
-_NOTE = re.compile(r"""<div[^>]*class=["']?n rnp["']?[^>]*>.*?</div>""", re.I | re.S)
-_LINK = re.compile(rf"<a[^>]*>({_ANY}*?)</a>", re.I)
-_TAG = re.compile(r"</?[^>]+(?:>|\Z)")
+_SPAN, _NOTE, _LINK = (re.compile(x, re.A) for x in (SPAN, NOTE, LINK))
+_TAG = re.compile(TAG.replace("$", r"\Z"))
 _SPACE = "\t\n\v\f\r \xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 
 def merged(nodes: object) -> str:
     """The markup of a node list in document order, without spans, notes and link tags; each level is trimmed by itself.
 
-    Anything but a list gives '', null elements and nodes without text or children are passed over.
+    Anything but a list gives '', null elements and nodes without text or children are passed over. Any depth is read.
     """
     if not isinstance(nodes, list):
         return ""
-    parts = []
-    for node in nodes:
-        if not isinstance(node, dict):
+    open_lists: list[tuple[Iterator, list[str]]] = [(iter(nodes), [])]
+    while True:
+        rest, parts = open_lists[-1]
+        inner = None
+        for node in rest:
+            if not isinstance(node, dict):
+                continue
+            t = node.get("t")
+            if isinstance(t, str) and t:
+                parts.append(_LINK.sub(r"\1", _NOTE.sub("", _SPAN.sub("", t))))
+            if isinstance(node.get("h"), list):
+                inner = node["h"]
+                break
+        if inner is not None:
+            open_lists.append((iter(inner), []))
             continue
-        t = node.get("t")
-        if isinstance(t, str) and t:
-            parts.append(_LINK.sub(r"\1", _NOTE.sub("", _SPAN.sub("", t))))
-        if isinstance(node.get("h"), list):
-            parts.append(merged(node["h"]))
-    return "".join(p + "\n" for p in parts).strip(_SPACE)
+        open_lists.pop()
+        text = "".join([p + "\n" for p in parts]).strip(_SPACE)
+        if not open_lists:
+            return text
+        open_lists[-1][1].append(text)
 
 
 def plain_text(markup: str | None) -> str:

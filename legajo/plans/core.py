@@ -391,4 +391,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return {**_SQL, **problems.SQL}

@@ -19,9 +19,9 @@ def p2_unified(spark: SparkSession, sf: str) -> DataFrame:
     return drift.unify(landed, drift.changes(drift.profile(landed)))
 
 
-def _bridge(spark: SparkSession, sf: str) -> DataFrame:
-    hits = nested.occurrences(table(spark, sf, "contraloria"), ["row_id"], "_source", "_source")
-    statutes = nested.occurrences(table(spark, sf, "normas"), ["row_id"], "html", "html")
+def _bridge(spark: SparkSession, sf: str, roots: bool = False) -> DataFrame:
+    hits = nested.occurrences(table(spark, sf, "contraloria"), ["row_id"], "_source", "_source", roots)
+    statutes = nested.occurrences(table(spark, sf, "normas"), ["row_id"], "html", "html", roots)
     return hits.withColumn("source_table", F.lit("contraloria")).unionByName(statutes.withColumn("source_table", F.lit("normas")))
 
 
@@ -30,11 +30,39 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p4_bridge(spark: SparkSession, sf: str) -> DataFrame:
-    return _bridge(spark, sf).drop("members")
+    """Every occurrence of an object, and the root of each record."""
+    return _bridge(spark, sf, roots=True).drop("members")
 
 
 def p4_objects(spark: SparkSession, sf: str) -> DataFrame:
-    return nested.objects(_bridge(spark, sf))
+    return nested.objects(_bridge(spark, sf, roots=True))
 
 
 QUERIES = (p2_found, p2_unified, p4_found, p4_bridge, p4_objects)
+
+
+def _held(j: str) -> str:
+    """A JSON value, read once more where it is a string that holds JSON."""
+    inner = f"try_cast({j} ->> '$' AS JSON)"
+    return f"CASE WHEN json_type({j}) = 'VARCHAR' AND json_type({inner}) IN ('OBJECT', 'ARRAY', 'VARCHAR') THEN {inner} ELSE {j} END"
+
+
+# Each step opens one level; strings are read up to three times.
+_P4 = f"""WITH RECURSIVE s AS (
+  SELECT 'contraloria' AS source_table, row_id, '_source' AS path, try_cast(_source AS JSON) AS j FROM contraloria
+  UNION ALL SELECT 'normas', row_id, 'html', try_cast(html AS JSON) FROM normas),
+s1 AS (SELECT source_table, row_id, path, {_held('j')} AS j FROM s), s2 AS (SELECT source_table, row_id, path, {_held('j')} AS j FROM s1),
+n AS (
+  SELECT source_table, row_id, path, '' AS parent, '' AS own, false AS found, {_held('j')} AS j FROM s2
+  UNION ALL
+  SELECT source_table, row_id, path, own, CASE WHEN found THEN path ELSE own END, found, j FROM (
+    SELECT *, element AND json_type(j) = 'OBJECT' AS found FROM (
+      SELECT source_table, row_id, path, own, element, {_held('j')} AS j FROM (
+        SELECT source_table, row_id, path, own, element, {_held('j')} AS j FROM (
+          SELECT n.source_table, n.row_id, n.own, json_type(n.j) = 'ARRAY' AS element, e.value AS j,
+            n.path || CASE WHEN json_type(n.j) = 'ARRAY' THEN '[' || e.key || ']' ELSE '.' || e.key END AS path
+          FROM n, LATERAL json_each(n.j) e WHERE json_type(n.j) IN ('OBJECT', 'ARRAY')))))
+  WHERE json_type(j) IN ('OBJECT', 'ARRAY'))
+SELECT source_table, row_id, path AS node_path, parent AS parent_path FROM n WHERE found"""
+
+SQL = {"p4_found": _P4}

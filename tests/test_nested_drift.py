@@ -1,8 +1,9 @@
 import json
+import random
 
 import numpy as np
 
-from legajo.operators import drift, nested
+from legajo.operators import drift, html, nested
 
 
 def paths(value, root="r"):
@@ -22,9 +23,61 @@ def test_json_in_strings_and_malformed():
     for bad in ("", "{", '{"a": [{}]', "NaN", "12", '"x"', None, '{"a": [{"b": NaN}]}'):
         assert nested.walk(bad, "r") == []
     assert nested.walk("[" * 100_000 + "]" * 100_000, "r") == []
+    assert nested.walk("[" * 100_000 + "{}" + "]" * 99_999, "r") == []
+    assert len(nested.walk("[1" + "0" * 9000 + ', {"a": 1e5}]', "r")) == 1
     assert len(nested.walk("[" * 400 + "{}" + "]" * 400, "r")) == 1
 
 
+def test_any_depth():
+    n = 10_000
+    text = '[{"t": "a", "h": ' * n + "[]" + "}]" * n
+    rows = nested._rows(text, "html", False)
+    assert next(rows)[:4] == ("html[0]", "", 0, 0)
+    assert sum(1 for _ in rows) == n - 1
+    assert html.merged(nested.parse(text)) == "\n".join("a" * n)
+
+
+def test_parsers_agree():
+    rng = random.Random(5)
+
+    def value(depth):
+        kind = rng.randrange(8 if depth < 5 else 5)
+        if kind < 5:
+            return [None, True, rng.randrange(-99, 99), rng.random() * 1e9, rng.choice(["", "á\n\"x\\", "\u2028{", "[1"])][kind]
+        if kind == 5:
+            return {rng.choice(["a", "b", "", "$object", "ñ"]): value(depth + 1) for _ in range(rng.randrange(4))}
+        return [value(depth + 1) for _ in range(rng.randrange(4))]
+
+    for _ in range(300):
+        text = json.dumps(value(0), indent=rng.choice([None, 2]), ensure_ascii=rng.random() < 0.5)
+        assert nested._parse_deep(text) == json.loads(text)
+        cut = text[: rng.randrange(len(text) + 1)] + rng.choice(["", ",", "}", "]", "x"])
+        try:
+            want = json.loads(cut)
+        except ValueError:
+            want = ValueError
+        try:
+            got = nested._parse_deep(cut)
+        except ValueError:
+            got = ValueError
+        assert got == want
+
+
+def test_nothing_is_lost():
+    for text in (
+        '[{"a": {"b": 1, "c": 2}, "tags": ["u", "v"], "k": 1}]',
+        '{"r": 1, "s": {"t": [[{"x": null}, 3], []]}, "$object": "y", "u": [{"$object": "z"}, {"$object": "z"}], "v": "[1, {}]"}',
+        '{"x": "plain", "y": [true, {"m": {"n": [{}]}}]}',
+        "[]",
+    ):
+        rows = list(nested._rows(text, "r", True))
+        tree = json.loads(text)
+        if "v" in tree:
+            tree["v"] = [1, {}]
+        assert nested.rebuilt(rows[0][4], {r[4]: r[6] for r in rows}) == tree
+    assert [r[4:] for r in nested._rows('{"x": "[1]"}', "r", True)] == [r[4:] for r in nested._rows('{"x": [1]}', "r", True)]
+
+
 def test_equal_subtrees_have_one_identity():
     rows = nested.walk('{"a": [{"x": 1, "y": [{"z": 2}]}, {"y": [{"z": 2}], "x": 1}, {"x": "1", "y": []}]}', "r")
     ids = {r[0]: r[4] for r in rows}
@@ -36,7 +89,7 @@ def test_occurrences(spark):
     df = spark.createDataFrame([(1, '[{"t": "a", "h": [{"t": "b"}]}]', "x"), (1, '[{"t": "b"}]', "x"), (None, None, "x"), (2, "{", "x")], "row_id int, html string, node_path string")
     out = nested.occurrences(df, ["row_id"], "html", "html")
     rows = sorted(tuple(r) for r in out.select("row_id", "node_path", "parent_path", "ordinal", "members").collect())
-    assert rows == [(1, "html[0]", "", 0, '{"t": "a"}'), (1, "html[0]", "", 0, '{"t": "b"}'), (1, "html[0].h[0]", "html[0]", 0, '{"t": "b"}')]
+    assert rows == [(1, "html[0]", "", 0, '{"h": [{"$object": "%s"}], "t": "a"}' % nested._identity('{"t": "b"}')), (1, "html[0]", "", 0, '{"t": "b"}'), (1, "html[0].h[0]", "html[0]", 0, '{"t": "b"}')]
     assert sorted(r.n for r in nested.objects(out).collect()) == [1, 2]
     assert nested.occurrences(df.limit(0), ["row_id"], "html", "html").count() == 0
 
