@@ -1,7 +1,8 @@
 """Problem 2: schemas that drift between the files of a feed.
 
 Each file's fields are profiled (JSON types, a sketch of keyed values). Fields that vanish and fields that appear in the next
-file are matched one to one by content, type and name; matched ones are renames, and all files are then read under one name.
+file are matched one to one by content, type and name; matched ones are renames. All files are then read into one table of typed
+columns, each of a type that holds all values of its field, and what was widened is told.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ SKETCH = 1024
 SALT = 64
 #: Share of common records whose values must agree for a rename.
 AGREE = 0.5
+#: Distinct values that each of two fields has at least, if they share no record and only their values tell that they are one.
+LEAST_DISTINCT = 3
 _ATOM = re.compile(r"[^\W\d_]+|\d+")
 _KINDS = {bool: "boolean", int: "number", float: "number", str: "string", list: "array", dict: "object"}
 
@@ -57,9 +60,9 @@ def _value_hash(value: object) -> int | None:
 
 
 def profile(records: DataFrame, payload_col: str = "payload", feed_col: str = "feed_id", file_col: str = "file_no", key_field: str = "id") -> DataFrame:
-    """(feed, file, field, kinds, n, sketch) of each field of each file.
+    """(feed, file, field, kinds, n, whole, sketch) of each field of each file.
 
-    Only payloads that are JSON objects count; null, empty, truncated and other payloads have no fields. ``sketch`` holds
+    Only payloads that are JSON objects count; null, empty, truncated and other payloads have no fields. ``whole`` tells that no number has a fraction or more than 64 bits. ``sketch`` holds
     (hash of the record's key, hash of the value) for at most ``SKETCH`` records. Tasks send one row for each field of each
     file they saw, so a hot feed is combined before the shuffle.
     """
@@ -73,9 +76,10 @@ def profile(records: DataFrame, payload_col: str = "payload", feed_col: str = "f
                 pa.array([k[2].encode("utf-8", "replace").decode() for k in keys], pa.string()),
                 pa.array([sorted(seen[k][0]) for k in keys], pa.list_(pa.string())),
                 pa.array([seen[k][1] for k in keys], pa.int64()),
+                pa.array([seen[k][3] for k in keys], pa.bool_()),
                 pa.array([[{"key": a, "value": b} for a, b in sorted(seen[k][2].items())[:SKETCH]] for k in keys], pa.list_(pa.struct([("key", pa.int64()), ("value", pa.int64())]))),
             ],
-            ["feed", "file", "field", "kinds", "n", "sketch"],
+            ["feed", "file", "field", "kinds", "n", "whole", "sketch"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,10 +92,13 @@ def profile(records: DataFrame, payload_col: str = "payload", feed_col: str = "f
                 key = record.get(key_field)
                 mark = xxhash.xxh3_64_intdigest(" ".join(atoms(key))) >> 1 if atoms(key) else None
                 for field, value in record.items():
-                    entry = seen.setdefault((feed, file, field), [set(), 0, {}])
+                    entry = seen.setdefault((feed, file, field), [set(), 0, {}, True])
                     entry[1] += 1
                     if value is not None:
-                        entry[0].add(_KINDS[type(value)])
+                        kind = _KINDS.get(type(value), "number")
+                        entry[0].add(kind)
+                        if kind == "number" and not (isinstance(value, int) and -(1 << 63) <= value < 1 << 63):
+                            entry[3] = False
                         if mark is not None and (h := _value_hash(value)) is not None:
                             entry[2][mark] = h
                             if len(entry[2]) > 4 * SKETCH:
@@ -102,13 +109,14 @@ def profile(records: DataFrame, payload_col: str = "payload", feed_col: str = "f
         yield rows(seen)
 
     parts = records.select(F.col(feed_col).alias("feed"), F.col(file_col).cast("int").alias("file"), F.col(payload_col).alias("p")).mapInArrow(
-        run, "feed string, file int, field string, kinds array<string>, n bigint, sketch array<struct<key:bigint,value:bigint>>"
+        run, "feed string, file int, field string, kinds array<string>, n bigint, whole boolean, sketch array<struct<key:bigint,value:bigint>>"
     )
 
     def combined(df: DataFrame, *by: str) -> DataFrame:
         return df.groupBy(*by).agg(
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("kinds")))).alias("kinds"),
             F.sum("n").alias("n"),
+            F.bool_and("whole").alias("whole"),
             F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("sketch")))), 1, SKETCH).alias("sketch"),
         )
 
@@ -157,7 +165,7 @@ def likeness(old: dict, new: dict) -> float:
         content = sum(a[k] == b[k] for k in common) / len(common)
     else:
         x, y = set(a.values()), set(b.values())
-        content = len(x & y) / min(len(x), len(y)) if x and y else 0.0
+        content = len(x & y) / min(len(x), len(y)) if min(len(x), len(y)) >= LEAST_DISTINCT else 0.0
     if common and content < 1 and "boolean" in {*old["kinds"], *new["kinds"]}:
         # Two values agree often by chance; only what is beyond counts.
         x, y = (Counter(f[k] for k in common) for f in (a, b))
@@ -170,16 +178,21 @@ def likeness(old: dict, new: dict) -> float:
     return content + 0.05 * kinds + 0.1 * name
 
 
-def _renames(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    rows = [{"field": r.field, "kinds": list(r.kinds), "gone": r.gone, "sketch": {x["key"]: x["value"] for x in r.sketch}} for r in pdf.sort_values("field").itertuples()]
+def _renames(fields: list[dict]) -> list[tuple[str, str, bool]]:
+    """(old, new, retyped) of the vanished fields of a pair of files that a new one carries on."""
+    rows = [{**r, "sketch": {x["key"]: x["value"] for x in r["sketch"]}} for r in sorted(fields, key=lambda r: r["field"])]
     old, new = [r for r in rows if r["gone"]], [r for r in rows if not r["gone"]]
-    out = []
-    if old and new:
-        like = np.array([[likeness(o, n) for n in new] for o in old])
-        for i, j in match(-like):
-            if like[i, j] > 0:
-                out.append((key[0], key[1], old[i]["field"], new[j]["field"], sorted(old[i]["kinds"]) != sorted(new[j]["kinds"])))
-    return pd.DataFrame(out, columns=["feed", "file", "old", "new", "retyped"])
+    if not old or not new:
+        return []
+    like = np.array([[likeness(o, n) for n in new] for o in old])
+    return [(old[i]["field"], new[j]["field"], sorted(old[i]["kinds"]) != sorted(new[j]["kinds"])) for i, j in match(-like) if like[i, j] > 0]
+
+
+def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out: list[tuple] = [(feed, file, *r) for feed, file, fields in zip(*(batch.column(c).to_pylist() for c in ("feed", "file", "fields"))) for r in _renames(fields)]
+        cols = list(zip(*out)) or [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int32(), pa.string(), pa.string(), pa.bool_()))], ["feed", "file", "old", "new", "retyped"])
 
 
 def changes(profiles: DataFrame) -> DataFrame:
@@ -200,7 +213,10 @@ def changes(profiles: DataFrame) -> DataFrame:
     loose = both.filter(gone | new).select("feed", "file", "field", gone.alias("gone"), F.coalesce("kinds_a", "kinds_b").alias("kinds"), F.coalesce("sketch_a", "sketch_b").alias("sketch"))
     # Only pairs of files with fields of both kinds have anything to match.
     mixed = loose.groupBy("feed", "file").agg(F.count_if("gone").alias("a"), F.count_if(~F.col("gone")).alias("b")).filter("a > 0 and b > 0").select("feed", "file")
-    renamed = materialise(loose.join(mixed, ["feed", "file"], "left_semi").groupBy("feed", "file").applyInPandas(_renames, "feed string, file int, old string, new string, retyped boolean"), folder, "renamed")
+    # One row for each pair of files, spread evenly: the step takes time by its number of pairs, not by their bytes.
+    ready = loose.join(mixed, ["feed", "file"], "left_semi").groupBy("feed", "file").agg(F.collect_list(F.struct("field", "gone", "kinds", "sketch")).alias("fields"))
+    tasks = max(2, profiles.sparkSession.sparkContext.defaultParallelism)
+    renamed = materialise(ready.repartition(tasks, "feed", "file").mapInArrow(_matched, "feed string, file int, old string, new string, retyped boolean"), folder, "renamed")
     taken = renamed.select("feed", "file", F.explode(F.array("old", "new")).alias("field"))
     plain = loose.join(taken, ["feed", "file", "field"], "left_anti").select("feed", "file", F.col("field").alias("field_name"), F.when(F.col("gone"), "removed").otherwise("added").alias("change_kind"), F.lit("").alias("new_name"))
     retyped = both.filter(~gone & ~new & (F.col("kinds_a") != F.col("kinds_b"))).select("feed", "file", F.col("field").alias("field_name"), F.lit("type_changed").alias("change_kind"), F.lit("").alias("new_name"))
@@ -224,36 +240,112 @@ def _chains(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["feed", "file", "name", "first_name"])
 
 
-def unify(records: DataFrame, changed: DataFrame, id_col: str = "rec_id", payload_col: str = "payload", feed_col: str = "feed_id", file_col: str = "file_no") -> DataFrame:
-    """All well-formed records as (id, feed, file, fields), fields being a map of first name -> list of values.
-
-    A scalar is a list of one, an object its JSON text, so that every field has one type in all files; null stays null. A
-    renamed field is found under its first name in its feed.
-    """
+def _column_names(fields: list[str], taken: list[str]) -> dict[str, str]:
+    """A column for each field; Spark's columns know no letter case, so of names that differ by it the later ones get a number."""
+    used = {c.lower() for c in taken}
+    out = {}
+    for f in sorted(fields):
+        name, k = f or "_", 1
+        while name.lower() in used:
+            k += 1
+            name = f"{f}_{k}"
+        used.add(name.lower())
+        out[f] = name
+    return out
+
+
+def _widest(kinds: set[str], whole: bool) -> str:
+    """The narrowest type that holds all values of these JSON types."""
+    if not kinds <= {"string", "number", "boolean"}:
+        return "string" if kinds == {"object"} else "array<string>"
+    if kinds == {"boolean"}:
+        return "boolean"
+    if kinds == {"number"}:
+        return "bigint" if whole else "double"
+    return "string"
+
+
+def _names(changed: DataFrame) -> DataFrame:
+    """(feed, file, until, names): from which file to which one fields have other names than their first ones."""
     moves = changed.filter("change_kind in ('renamed', 'added')")
     names = moves.groupBy("feed").applyInPandas(_chains, "feed string, file int, name string, first_name string")
     # A file without changes keeps the names of the one before it: names hold from their file to the next one that has any.
     spans = names.groupBy("feed", "file").agg(F.map_from_arrays(F.collect_list("name"), F.collect_list("first_name")).alias("names"))
-    spans = spans.withColumn("until", F.lead("file").over(Window.partitionBy("feed").orderBy("file")))
+    return spans.withColumn("until", F.lead("file").over(Window.partitionBy("feed").orderBy("file")))
+
+
+def _held_names(files: DataFrame, changed: DataFrame) -> DataFrame:
+    f, s = files.alias("f"), _names(changed).alias("s")
+    return f.join(s, (F.col("f.feed") == F.col("s.feed")) & (F.col("f.file") >= F.col("s.file")) & (F.col("f.file") < F.coalesce("s.until", F.lit(2**31 - 1)))).select("f.feed", "f.file", "s.names")
+
+
+def unified_schema(profiles: DataFrame, changed: DataFrame, taken: tuple[str, ...] = ("rec_id", "feed_id", "file_no")) -> DataFrame:
+    """(field_name, column_name, type, kinds, names, files, widened): each field of the unified table.
+
+    ``field_name`` is its first name, ``names`` all it ever had, ``kinds`` the JSON types of its values, ``type`` the narrowest
+    type that holds them all, ``widened`` tells that there were several. There is one row for each field, of which the driver
+    reads the names.
+    """
+    spark = profiles.sparkSession
+    named = profiles.join(_held_names(profiles.select("feed", "file").distinct(), changed), ["feed", "file"], "left")
+    first = F.coalesce(F.try_element_at("names", "field"), F.col("field"))
+    fields = named.groupBy(first.alias("field_name")).agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("kinds")))).alias("kinds"), F.array_sort(F.collect_set("field")).alias("names"), F.count("*").alias("files"), F.bool_and("whole").alias("whole")
+    )
+    rows = fields.collect()
+    columns = _column_names([r.field_name for r in rows], list(taken))
+    out = [(r.field_name, columns[r.field_name], _widest(set(r.kinds), r.whole), r.kinds, r.names, r.files, len(r.kinds) > 1) for r in sorted(rows, key=lambda r: r.field_name)]
+    return spark.createDataFrame(out, "field_name string, column_name string, type string, kinds array<string>, names array<string>, files bigint, widened boolean")
+
+
+def _text(value: object) -> str | None:
+    text = value if value is None or isinstance(value, str) else json.dumps(value, ensure_ascii=False, sort_keys=True)
+    return text and text.encode("utf-8", "replace").decode()
+
+
+def _typed(value: object, kind: str) -> object:
+    if value is None:
+        return None
+    if kind == "array<string>":
+        return [_text(v) for v in value] if isinstance(value, list) else [_text(value)]
+    return _text(value) if kind == "string" else float(value) if kind == "double" else value
+
+
+_ARROW = {"boolean": pa.bool_(), "bigint": pa.int64(), "double": pa.float64(), "string": pa.string(), "array<string>": pa.list_(pa.string())}
+
+
+def unify(records: DataFrame, profiles: DataFrame, changed: DataFrame, id_col: str = "rec_id", payload_col: str = "payload", feed_col: str = "feed_id", file_col: str = "file_no") -> DataFrame:
+    """All well-formed records in one table: id, feed, file, and a typed column for each field.
+
+    A renamed field is found under its first name in its feed. A field that is a list somewhere is a list of texts, one that
+    holds several scalar types is text, objects are JSON text; :func:`unified_schema` says what was widened. A null and a missing
+    member are both null; records that aren't objects have no row.
+    """
+    schema = [(r.field_name, r.column_name, r.type) for r in unified_schema(profiles, changed, (id_col, feed_col, file_col)).collect()]
     rows = records.select(F.col(id_col).alias("i"), F.col(feed_col).alias("feed"), F.col(file_col).cast("int").alias("file"), F.col(payload_col).alias("p"))
-    files = rows.select("feed", "file").distinct()
-    held = files.alias("f").join(spans.alias("s"), (F.col("f.feed") == F.col("s.feed")) & (F.col("f.file") >= F.col("s.file")) & (F.col("f.file") < F.coalesce("s.until", F.lit(2**31 - 1)))).select("f.feed", "f.file", "s.names")
-    joined = rows.join(held, ["feed", "file"], "left")
+    joined = rows.join(_held_names(rows.select("feed", "file").distinct(), changed), ["feed", "file"], "left")
+    kinds = {f: (k, t) for k, (f, _, t) in enumerate(schema)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.map_(pa.string(), pa.list_(pa.string()))
         for batch in batches:
-            keep, out = [], []
+            keep: list[int] = []
+            out: list[list] = [[] for _ in schema]
             for k, (text, names) in enumerate(zip(batch.column("p").to_pylist(), batch.column("names").to_pylist())):
                 record = parse(text)
                 if isinstance(record, dict):
-                    as_text = lambda v: None if v is None else v if isinstance(v, str) else json.dumps(v, ensure_ascii=False, sort_keys=True)
                     first = dict(names or [])
                     keep.append(k)
-                    out.append([(first.get(f, f), None if v is None else [as_text(x) for x in v] if isinstance(v, list) else [as_text(v)]) for f, v in record.items()])
-            at = pa.array(keep, pa.int64())
-            clean = [[(a.encode("utf-8", "replace").decode(), b and [x and x.encode("utf-8", "replace").decode() for x in b]) for a, b in dict(r).items()] for r in out]
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(at) for c in ("i", "feed", "file")] + [pa.array(clean, kind)], ["i", "feed", "file", "fields"])
+                    for column in out:
+                        column.append(None)
+                    for name, value in record.items():
+                        name = name.encode("utf-8", "replace").decode()
+                        place, kind = kinds[first.get(name, name)]
+                        if value is not None:
+                            out[place][-1] = _typed(value, kind)
+            cols = [batch.column(c).take(pa.array(keep, pa.int64())) for c in ("i", "feed", "file")]
+            yield pa.RecordBatch.from_arrays(cols + [pa.array(x, _ARROW[t]) for x, (_, _, t) in zip(out, schema)], ["i", "feed", "file", *(f"c{k}" for k in range(len(schema)))])
 
     kind = records.schema[id_col].dataType.simpleString()
-    return joined.select("i", "feed", "file", "p", "names").mapInArrow(run, f"i {kind}, feed string, file int, fields map<string,array<string>>").withColumnsRenamed({"i": id_col, "feed": feed_col, "file": file_col})
+    sql = ", ".join([f"i {kind}, feed string, file int", *(f"c{k} {t}" for k, (_, _, t) in enumerate(schema))])
+    read = joined.select("i", "feed", "file", "p", "names").mapInArrow(run, sql)
+    return read.withColumnsRenamed({"i": id_col, "feed": feed_col, "file": file_col, **{f"c{k}": c for k, (_, c, _) in enumerate(schema)}})

@@ -158,7 +158,7 @@ class _Open:
         self.kind = type(value)
         self.rest = iter(sorted(value.items()) if self.kind is dict else enumerate(value))
         self.texts: list[str] = []
-        self.case, self.place, self.way = case, place, way  # its own or the nearest enclosing case; its place if it is one; path from that case
+        self.case, self.place, self.way = case, place, way  # its own or the nearest enclosing case; its number if it is one; last step of its path
 
 
 class _Cases:
@@ -179,10 +179,10 @@ class _Cases:
             deeper = False
             for key, value in top.rest:
                 if top.kind is dict:
-                    way, element = f"{top.way}.{key}", -1
+                    way, element = f".{key}", -1
                     top.texts.append(_name(key) + ": ")
                 else:
-                    way, element = f"{top.way}[{key}]", key
+                    way, element = f"[{key}]", key
                 if isinstance(value, str):
                     value = _held(value)
                 if isinstance(value, (dict, list)):
@@ -191,10 +191,15 @@ class _Cases:
                         place = len(self.parent)
                         self.parent.append(case)
                         self.place.append(element)
-                        self.way.append(way)
+                        steps = [way]
+                        for outer in reversed(stack):
+                            if outer.place >= 0:
+                                break
+                            steps.append(outer.way)
+                        self.way.append("".join(reversed(steps)))
                         self.text.append("")
                         self.id.append("")
-                        case, way = place, ""
+                        case = place
                     stack.append(_Open(value, case, place, way))
                     deeper = True
                     break

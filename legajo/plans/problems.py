@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from legajo.operators import drift, nested
-from legajo.session import table
+from legajo.session import materialise, shared_folder, table
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -15,8 +15,16 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_unified(spark: SparkSession, sf: str) -> DataFrame:
+    """The records of all files in one table of typed columns."""
     landed = table(spark, sf, "archivos")
-    return drift.unify(landed, drift.changes(drift.profile(landed)))
+    profiles = materialise(drift.profile(landed), shared_folder(spark), "profiles")
+    return drift.unify(landed, profiles, drift.changes(profiles))
+
+
+def p2_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """The columns of that table, with what was renamed and widened."""
+    profiles = materialise(drift.profile(table(spark, sf, "archivos")), shared_folder(spark), "profiles")
+    return drift.unified_schema(profiles, drift.changes(profiles))
 
 
 def _bridge(spark: SparkSession, sf: str, roots: bool = False) -> DataFrame:
@@ -38,7 +46,7 @@ def p4_objects(spark: SparkSession, sf: str) -> DataFrame:
     return nested.objects(_bridge(spark, sf, roots=True))
 
 
-QUERIES = (p2_found, p2_unified, p4_found, p4_bridge, p4_objects)
+QUERIES = (p2_found, p2_unified, p2_schema, p4_found, p4_bridge, p4_objects)
 
 
 def _held(j: str) -> str:

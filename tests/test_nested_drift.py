@@ -143,12 +143,24 @@ def test_assignment_is_best():
 
 
 def test_unify(spark):
-    a = [{"id": "1", "old": "v 1"}, {"id": "2", "old": "v 2"}]
-    b = [{"id": "1", "new": ["v 1"]}, {"id": "3", "new": None}]
-    rows = feed(spark, a, b, b)
-    out = drift.unify(rows, drift.changes(drift.profile(rows))).orderBy("rec_id").collect()
-    assert [r.fields.get("old") for r in out] == [["v 1"], ["v 2"], ["v 1"], None, ["v 1"], None]
-    assert all("new" not in r.fields for r in out)
+    a = [{"id": "1", "old": "v 1", "n": 1, "F": True}, {"id": "2", "old": "v 2", "n": 2, "f": {"x": 1}}]
+    b = [{"id": "1", "new": ["v 1"], "n": 1.5, "F": True}, {"id": "3", "new": None, "rec_id": "r", "F": False}]
+    rows = feed(spark, a, b, ["{"], b)
+    profiles = drift.profile(rows)
+    out = drift.unify(rows, profiles, drift.changes(profiles))
+    assert out.dtypes == [("rec_id", "bigint"), ("feed_id", "string"), ("file_no", "int"), ("F", "boolean"), ("f_2", "string"), ("id", "string"), ("n", "double"), ("old", "array<string>"), ("rec_id_2", "string")]
+    got = out.orderBy("rec_id").collect()
+    assert [(r.old, r.n, r.F, r.f_2, r.rec_id_2) for r in got] == [(["v 1"], 1.0, True, None, None), (["v 2"], 2.0, None, '{"x": 1}', None), (["v 1"], 1.5, True, None, None), (None, None, False, None, "r"), (["v 1"], 1.5, True, None, None), (None, None, False, None, "r")]
+    told = {r.field_name: (r.type, r.widened, r.names) for r in drift.unified_schema(profiles, drift.changes(profiles)).collect()}
+    assert told["old"] == ("array<string>", True, ["new", "old"]) and told["n"] == ("double", False, ["n"])
+    none = feed(spark, ["{"])
+    profiles = drift.profile(none)
+    assert drift.unify(none, profiles, drift.changes(profiles)).columns == ["rec_id", "feed_id", "file_no"]
+
+
+def test_values_alone_must_be_several(spark):
+    assert changes(spark, [{"id": "1", "a": "x"}, {"id": "2", "a": "x"}], [{"id": "3", "b": "x"}, {"id": "4", "b": "x"}]) == [(2, "a", "removed", ""), (2, "b", "added", "")]
+    assert changes(spark, [{"id": str(k), "a": f"v{k}"} for k in range(3)], [{"id": str(9 + k), "b": f"v{k}"} for k in range(3)]) == [(2, "a", "renamed", "b")]
 
 
 def test_renames_of_booleans_and_signs(spark):
