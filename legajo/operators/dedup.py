@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -26,21 +28,43 @@ def first_arrivals(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.join(first, df[order] == first["_first"], "left_semi").unionByName(df.filter(F.col(key).isNull()))
 
 
-def insert_if_absent(df: DataFrame, path: str, keys: list[str]) -> int:
-    """Append the rows whose keys a Parquet table lacks (one row for each key); returns how many were added.
+class Added(int):
+    """How many rows were added; ``rejected()`` counts the others that had a null key, ``told`` has further counts of the added."""
+
+    rejected: Callable[[], int]
+    told: dict[str, int]
+
+
+def insert_if_absent(df: DataFrame, path: str, keys: list[str], order: str | None = None, partition: str | None = None, rows_per_file: int = 0, told: dict[str, Column] | None = None) -> Added:
+    """Append the rows whose keys a Parquet table lacks; returns how many were added.
 
-    One set-based write takes the place of a check for each row, so that two equal keys of one batch can't both go in.
+    One set-based write takes the place of a check for each row, so that two equal keys of one batch can't both go in: of equal
+    keys the row of least ``order`` goes in, without an order any. Rows with a null key could not be told again and are left
+    out; the result can count them. ``partition`` lays the table out by a column, ``rows_per_file`` limits its files, ``told``
+    names conditions whose rows are counted among the added.
     """
     spark: SparkSession = df.sparkSession
-    new = df.dropDuplicates(keys)
+    null = F.greatest(*(F.col(k).isNull().cast("int") for k in keys), F.lit(0)) == 1
+    known = df.filter(~null)
+    if order:
+        rest = [c for c in df.columns if c not in keys]
+        first = known.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_first"))
+        new = first.select(*(F.col("_first")[c].alias(c) if c in rest else F.col(c) for c in df.columns))
+    else:
+        new = known.dropDuplicates(keys)
     try:
-        new = new.join(spark.read.parquet(path).select(*keys).distinct(), keys, "left_anti")
+        new = new.join(spark.read.parquet(path).select(*keys).distinct(), keys, "left_anti").select(*df.columns)
     except AnalysisException as e:  # the table doesn't exist yet
         if "PATH_NOT_FOUND" not in str(e):
             raise
-    added = Observation()  # counted while it is written
-    new.observe(added, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
-    return added.get["n"]
+    seen = Observation()  # counted while it is written
+    counts = [F.count(F.lit(1)).alias("n"), *(F.count_if(c).alias(f"n_{n}") for n, c in (told or {}).items())]
+    writer = new.observe(seen, *counts).write.mode("append").option("maxRecordsPerFile", rows_per_file)
+    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    out = Added(seen.get["n"])
+    out.rejected = lambda: df.filter(null).count()
+    out.told = {n: seen.get[f"n_{n}"] for n in told or {}}
+    return out
 
 
 def keyset_page(df: DataFrame, key: str, after: object, n: int) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -54,3 +55,26 @@ def merge(old: DataFrame, new: DataFrame) -> DataFrame:
 def lists(found: DataFrame) -> DataFrame:
     """One ordered array for each facet."""
     return found.groupBy("facet").agg(F.transform(F.array_sort(F.collect_list(F.struct("first_seen", "value"))), lambda x: x["value"]).alias("values"))
+
+
+def save_json(found: DataFrame, path: str) -> None:
+    """Write facets as JSON, one object (facet, value, n, first_seen) a line, in place of what was there."""
+    found.select("facet", "value", "n", "first_seen").write.mode("overwrite").json(path)
+
+
+def load_json(spark: SparkSession, path: str) -> DataFrame:
+    """Facets (facet, value, n, first_seen) of JSON files: lines as :func:`save_json` writes them, or one object of lists.
+
+    A list's values count once each and are first seen at their places. A missing path and files of other contents give none.
+    """
+    shape = "facet string, value string, n bigint, first_seen bigint"
+    try:
+        text = spark.read.text(path, wholetext=True)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], shape)
+    objects = text.select(F.explode(F.from_json("value", "map<string,array<string>>")).alias("facet", "values"))
+    old = objects.select("facet", F.posexplode("values").alias("pos", "value")).select("facet", "value", F.lit(1).cast("bigint").alias("n"), F.col("pos").cast("bigint").alias("first_seen"))
+    lines = text.select(F.explode(F.split("value", "\\n")).alias("value")).select(F.from_json("value", shape).alias("r")).select("r.*").filter("facet is not null")
+    return merge(old, lines)

@@ -1,7 +1,8 @@
 """Running state over an ordered log: error budgets, page cut-offs, counters.
 
-A window over the whole log would put it into one task. The log is cut into chunks of its order column; only one summary row for
-each chunk goes through a window over all of them.
+A window over the whole log would put it into one task. The range of the order column is cut into chunks of equal width, about as
+many as it has rows by ``CHUNK``, however sparse its values are; only one summary row for each chunk goes through a window over
+all of them.
 """
 
 from __future__ import annotations
@@ -12,9 +13,17 @@ from pyspark.sql import functions as F
 CHUNK = 1 << 16
 
 
+def _chunked(df: DataFrame, order: str, chunk: int) -> DataFrame:
+    """df with the number of each row's chunk."""
+    lo, hi, n = df.agg(F.min(order), F.max(order), F.count("*")).first()
+    wide = max(1, -(-(int(hi) - int(lo) + 1) // max(1, -(-n // chunk)))) if lo is not None else 1
+    away = F.col(order).cast("decimal(20,0)") - F.lit(int(lo or 0)).cast("decimal(20,0)")  # the range may be wider than a bigint
+    return df.withColumn("_chunk", F.floor(away / F.lit(wide).cast("decimal(20,0)")).cast("bigint"))
+
+
 def ranked(df: DataFrame, order: str, chunk: int = CHUNK) -> DataFrame:
     """df with ``rn``: 1, 2, ... in the order of an integer column without ties."""
-    rows = df.withColumn("_chunk", F.floor(F.col(order) / chunk))
+    rows = _chunked(df, order, chunk)
     sizes = rows.groupBy("_chunk").agg(F.count("*").alias("_n"))
     before = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1))).select("_chunk", F.coalesce("_before", F.lit(0)).alias("_before"))
     own = F.row_number().over(Window.partitionBy("_chunk").orderBy(order))
@@ -23,7 +32,7 @@ def ranked(df: DataFrame, order: str, chunk: int = CHUNK) -> DataFrame:
 
 def failures(df: DataFrame, order: str, failed: Column, chunk: int = CHUNK) -> DataFrame:
     """df with ``run``: how many rows up to this one failed in a row; 0 after a success."""
-    rows = df.withColumn("_f", failed.cast("int")).withColumn("_chunk", F.floor(F.col(order) / chunk))
+    rows = _chunked(df.withColumn("_f", failed.cast("int")), order, chunk)
     in_chunk = Window.partitionBy("_chunk").orderBy(order)
     rows = rows.withColumn("_last", F.max(F.when(F.col("_f") == 0, F.col(order))).over(in_chunk))
     rows = rows.withColumn("_run", F.sum("_f").over(Window.partitionBy("_chunk", "_last").orderBy(order)))

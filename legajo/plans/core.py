@@ -355,7 +355,7 @@ def embed_text(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def index_points(spark: SparkSession, sf: str) -> DataFrame:
     chunks = html.chunked(table(spark, sf, "documents").select("doc_id", "text"), "text")
-    return vectors.points(chunks, "doc_id", "chunk_index", "chunk")
+    return vectors.points(chunks, "doc_id", "chunk_index", "chunk", metadata="metadata")
 
 
 @query("SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events")

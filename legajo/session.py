@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
 
@@ -36,11 +37,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """A new folder that all executors share, below ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, local mode) a temporary folder of this machine is used. Results may be read from
-    it until the program ends, when it is removed.
+    Only in local mode, where all tasks run on this machine, a temporary folder takes the place of a missing setting; on a
+    cluster a missing setting is an error. Results may be read from the folder until the program ends, when it is removed.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = os.path.join(tempfile.gettempdir(), "legajo-checkpoints")
     folder = f"{base.rstrip('/')}/legajo-{uuid.uuid4().hex}"
     atexit.register(_drop_quietly, spark, folder)
