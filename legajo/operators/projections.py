@@ -8,23 +8,112 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from legajo.functions.scalars import first_of, or_number, or_text, text_list
-
-# Output field, source field and default of each base. "" is text, [] a list, 0 a number.
-_COMMON = "rol=rol_era_sup_s caratulado=caratulado_s fechaSentencia=fec_sentencia_sup_dt"
-FIELDS = {
-    "civil": f"{_COMMON} tribunal=gls_juz_s juez=gls_juez_ss:list materia=gls_materia_s:list",
-    "penal": f"{_COMMON} tribunal=gls_juz_s materia=gls_materia_ss:list juez=gls_juez_ss:list resultado=sent__GLS_DECISION_s",
-    "familia": f"{_COMMON} tribunal=gls_juz_s materia=cod_materia_s:list juez=gls_juez_ss:list",
-    "salud_corte_de_apelaciones": "rol=rol_era_ape_s caratulado=caratulado_s corte=gls_corte_s fechaSentencia=fec_sentencia_sup_dt sala=gls_sala_sup_s resultado=resultado_recurso_sup_s tematicaDeSalud=tematica_ss:list era=era_sup_i:int isapre=isapre_ss:list",
-    "salud_corte_suprema": f"{_COMMON} institucionesRecurridas=organismo_ss:list tematicaDeSalud=tematica_ss:list medicamento=medicamento_ss:list enfermedad=enfermedad_ss:list corte=gls_corte_s resultado=resultado_recurso_sup_s sala=gls_sala_sup_s era=era_sup_i:int tipoRecurso=gls_tip_recurso_sup_s",
-    "cobranza": f"{_COMMON} tribunal=gls_juz_s juez=gls_juez_ss:list",
-    "corte_suprema": f"{_COMMON} sala=gls_sala_sup_s corte=gls_corte_s era=era_sup_i:int categorizacion=sent__categorizacion_s:list resultado=resultado_recurso_sup_s redactor=gls_relator_s ministro=gls_ministro_ss:list tipoRecurso=gls_tip_recurso_sup_s descriptores=gls_descriptor_ss:list idNorm=id_norma_ss:list articulo=norma_articulo_ss:list",
-    "laboral": f"{_COMMON} era=era_sup_i:int categorizacion=gls_materia_s:list tribunal=gls_juz_s juez=gls_juez_ss:list",
-    "corte_de_apelaciones": "rol=rol_era_ape_s caratulado=caratulado_s fechaSentencia=fec_sentencia_sup_dt era=era_sup_i:int categorizacion=gls_materia_s:list sala=gls_sala_sup_s corte=gls_corte_s resultado=resultado_recurso_sup_s tipoRecurso=tip_recurso_s juzgado=gls_juz_s",
-    "": f"{_COMMON} tribunal=gls_juz_s juez=gls_juez_ss:list",
+from legajo.functions.scalars import first_of, or_number, or_text, text_list, utf16_length
+
+# Output field, source field and kind of each base. The default of text is "", of a list [], of an int 0.
+MATRIX: dict[str, list[tuple[str, str, str]]] = {
+    "civil": [
+        ("rol", "rol_era_sup_s", "text"),
+        ("caratulado", "caratulado_s", "text"),
+        ("fechaSentencia", "fec_sentencia_sup_dt", "text"),
+        ("tribunal", "gls_juz_s", "text"),
+        ("juez", "gls_juez_ss", "list"),
+        ("materia", "gls_materia_s", "list"),
+    ],
+    "penal": [
+        ("rol", "rol_era_sup_s", "text"),
+        ("caratulado", "caratulado_s", "text"),
+        ("fechaSentencia", "fec_sentencia_sup_dt", "text"),
+        ("tribunal", "gls_juz_s", "text"),
+        ("materia", "gls_materia_ss", "list"),
+        ("juez", "gls_juez_ss", "list"),
+        ("resultado", "sent__GLS_DECISION_s", "text"),
+    ],
+    "familia": [
+        ("rol", "rol_era_sup_s", "text"),
+        ("caratulado", "caratulado_s", "text"),
+        ("fechaSentencia", "fec_sentencia_sup_dt", "text"),
+        ("tribunal", "gls_juz_s", "text"),
+        ("materia", "cod_materia_s", "list"),
+        ("juez", "gls_juez_ss", "list"),
+    ],
+    "salud_corte_de_apelaciones": [
+        ("rol", "rol_era_ape_s", "text"),
+        ("caratulado", "caratulado_s", "text"),
+        ("corte", "gls_corte_s", "text"),
+        ("fechaSentencia", "fec_sentencia_sup_dt", "text"),
+        ("sala", "gls_sala_sup_s", "text"),
+        ("resultado", "resultado_recurso_sup_s", "text"),
+        ("tematicaDeSalud", "tematica_ss", "list"),
+        ("era", "era_sup_i", "int"),
+        ("isapre", "isapre_ss", "list"),
+    ],
+    "salud_corte_suprema": [
+        ("rol", "rol_era_sup_s", "text"),
+        ("caratulado", "caratulado_s", "text"),
+        ("fechaSentencia", "fec_sentencia_sup_dt", "text"),
+        ("institucionesRecurridas", "organismo_ss", "list"),
+        ("tematicaDeSalud", "tematica_ss", "list"),
+        ("medicamento", "medicamento_ss", "list"),
+        ("enfermedad", "enfermedad_ss", "list"),
+        ("corte", "gls_corte_s", "text"),
+        ("resultado", "resultado_recurso_sup_s", "text"),
+        ("sala", "gls_sala_sup_s", "text"),
+        ("era", "era_sup_i", "int"),
+        ("tipoRecurso", "gls_tip_recurso_sup_s", "text"),
+    ],
+    "cobranza": [
+        ("rol", "rol_era_sup_s", "text"),
+        ("caratulado", "caratulado_s", "text"),
+        ("fechaSentencia", "fec_sentencia_sup_dt", "text"),
+        ("tribunal", "gls_juz_s", "text"),
+        ("juez", "gls_juez_ss", "list"),
+    ],
+    "corte_suprema": [
+        ("rol", "rol_era_sup_s", "text"),
+        ("caratulado", "caratulado_s", "text"),
+        ("fechaSentencia", "fec_sentencia_sup_dt", "text"),
+        ("sala", "gls_sala_sup_s", "text"),
+        ("corte", "gls_corte_s", "text"),
+        ("era", "era_sup_i", "int"),
+        ("categorizacion", "sent__categorizacion_s", "list"),
+        ("resultado", "resultado_recurso_sup_s", "text"),
+        ("redactor", "gls_relator_s", "text"),
+        ("ministro", "gls_ministro_ss", "list"),
+        ("tipoRecurso", "gls_tip_recurso_sup_s", "text"),
+        ("descriptores", "gls_descriptor_ss", "list"),
+        ("idNorm", "id_norma_ss", "list"),
+        ("articulo", "norma_articulo_ss", "list"),
+    ],
+    "laboral": [
+        ("rol", "rol_era_sup_s", "text"),
+        ("caratulado", "caratulado_s", "text"),
+        ("fechaSentencia", "fec_sentencia_sup_dt", "text"),
+        ("era", "era_sup_i", "int"),
+        ("categorizacion", "gls_materia_s", "list"),
+        ("tribunal", "gls_juz_s", "text"),
+        ("juez", "gls_juez_ss", "list"),
+    ],
+    "corte_de_apelaciones": [
+        ("rol", "rol_era_ape_s", "text"),
+        ("caratulado", "caratulado_s", "text"),
+        ("fechaSentencia", "fec_sentencia_sup_dt", "text"),
+        ("era", "era_sup_i", "int"),
+        ("categorizacion", "gls_materia_s", "list"),
+        ("sala", "gls_sala_sup_s", "text"),
+        ("corte", "gls_corte_s", "text"),
+        ("resultado", "resultado_recurso_sup_s", "text"),
+        ("tipoRecurso", "tip_recurso_s", "text"),
+        ("juzgado", "gls_juz_s", "text"),
+    ],
+    "": [
+        ("rol", "rol_era_sup_s", "text"),
+        ("caratulado", "caratulado_s", "text"),
+        ("fechaSentencia", "fec_sentencia_sup_dt", "text"),
+        ("tribunal", "gls_juz_s", "text"),
+        ("juez", "gls_juez_ss", "list"),
+    ],
 }
-MATRIX = {base: [tuple((f + ":text").replace("=", ":").split(":")[:3]) for f in spec.split()] for base, spec in FIELDS.items()}
 OUTPUTS = list(dict.fromkeys((out, kind) for rows in MATRIX.values() for out, _, kind in rows))
 
 
@@ -89,17 +178,33 @@ def hit_metadata(df: DataFrame, source_col: str = "_source", id_col: str = "doc_
     ``idSentence`` is the hit's id unless the object has its own. Objects delivered as a JSON string are read; null and malformed
     ones give only ``idSentence``.
     """
-    held = F.coalesce(F.try_variant_get(F.try_parse_json(F.col(source_col)), "$", "string"), F.col(source_col))
+    # Only a string is read through a variant, which would put an object's members in another order.
+    inner = F.when(F.ltrim(F.col(source_col)).startswith('"'), F.try_variant_get(F.try_parse_json(F.col(source_col)), "$", "string"))
+    held = F.coalesce(inner, F.col(source_col))
     fields = F.coalesce(F.from_json(held, "map<string,string>"), F.create_map().cast("map<string,string>"))
     rest = F.map_filter(fields, lambda k, v: k != text_field)
     own = F.coalesce(rest["idSentence"], F.col(id_col))
     return df.select(*keep, F.col(id_col), own.alias("idSentence"), F.map_filter(rest, lambda k, v: k != "idSentence").alias("fields"))
 
 
-def row_form(df: DataFrame, id_col: str, collection: Column, content: Column, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The relational row of a document: id, collection, filename, file_path, content (JSON), file_size in UTF-16 units."""
+def row_form(df: DataFrame, id_col: str, collection: Column, document: Column, metadata: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The relational row of a document: id, collection, filename, file_path, content, metadata (JSON), file_size.
+
+    ``document`` is a struct; ``content`` is its JSON with all members, null ones too, and ``file_size`` the length of that in
+    UTF-16 units. A null id gives a null filename.
+    """
     key = F.col(id_col).cast("string")
-    return df.select(*keep, key.alias("id"), collection.alias("collection"), F.concat(key, F.lit(".json")).alias("filename"), F.concat(F.lit("/path/to/"), key, F.lit(".json")).alias("file_path"), content.alias("content"), (F.octet_length(F.encode(content, "UTF-16BE")) / 2).cast("bigint").alias("file_size"))
+    content = F.to_json(document, {"ignoreNullFields": "false"})
+    return df.select(
+        *keep,
+        key.alias("id"),
+        collection.alias("collection"),
+        F.concat(key, F.lit(".json")).alias("filename"),
+        F.concat(F.lit("/path/to/"), key, F.lit(".json")).alias("file_path"),
+        content.alias("content"),
+        F.to_json(metadata, {"ignoreNullFields": "false"}).alias("metadata"),
+        utf16_length(content).alias("file_size"),
+    )
 
 
 def load_tier(n: Column) -> Column:

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from legajo.functions import scalars as S
-from legajo.operators import dedup, facets, html, projections, runstate, vectors
+from legajo.operators import dedup, facets, html, metrics, projections, runstate, vectors
 from legajo.plans import problems
-from legajo.session import table
+from legajo.session import shared_folder, table
+from legajo.sources import landed
 
 _Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -65,13 +66,13 @@ def topk_all(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """WITH s AS (SELECT quantile_cont(abs(x), 0.99) AS q FROM (SELECT unnest(embedding)::DOUBLE AS x FROM embeddings))
-SELECT vec_id, list_sum(list_transform(embedding, lambda x: greatest(-127, least(127, floor(x::DOUBLE / s.q * 127 + 0.5)))))::BIGINT AS total FROM embeddings, s"""
+SELECT vec_id, array_to_string(list_transform(embedding, lambda x: greatest(-127, least(127, floor(x::DOUBLE / s.q * 127 + 0.5)))::INTEGER), ' ') AS int8 FROM embeddings, s"""
 )
 def quantise_int8(spark: SparkSession, sf: str) -> DataFrame:
     points = table(spark, sf, "embeddings")
     scale = points.select(F.explode("embedding").alias("x")).agg(F.percentile(F.abs(F.col("x").cast("double")), 0.99).alias("q"))
     q8 = points.crossJoin(F.broadcast(scale)).withColumn("v", S.quantise(F.col("embedding"), F.col("q")))  # one row
-    return q8.select("vec_id", F.aggregate("v", F.lit(0).cast("bigint"), lambda s, x: s + x).alias("total"))
+    return q8.select("vec_id", F.array_join(F.transform("v", lambda x: x.cast("string")), " ").alias("int8"))
 
 
 @query("SELECT count(*) AS vectors_count, count(*) FILTER (WHERE len(embedding) <> 64) AS wrong_dim FROM embeddings")
@@ -126,9 +127,18 @@ def norm_metadata(spark: SparkSession, sf: str) -> DataFrame:
     return projections.statute_metadata(table(spark, sf, "normas")).withColumn("organismos", F.array_join("organismos", "|"))
 
 
-@query()
+@query(
+    f"""WITH s AS (SELECT row_id, doc_id, try_cast(_source AS JSON) AS j FROM contraloria), h AS (SELECT row_id, doc_id, {problems.held('j')} AS j FROM s),
+o AS (SELECT row_id, doc_id, CASE WHEN json_type(j) = 'OBJECT' THEN j END AS j FROM h),
+e AS (SELECT o.row_id, e.key AS k, e.value AS v FROM o, LATERAL json_each(o.j) e WHERE e.key NOT IN ('documento_completo', 'idSentence')),
+f AS (SELECT row_id, string_agg(k || '=' || coalesce(CASE WHEN json_type(v) = 'VARCHAR' THEN v ->> '$' WHEN json_type(v) <> 'NULL' THEN v::VARCHAR END, '<null>'), '|' ORDER BY k) AS fields FROM e GROUP BY row_id)
+SELECT o.row_id, o.doc_id, coalesce(o.j ->> '$.idSentence', o.doc_id) AS "idSentence", coalesce(f.fields, '') AS fields FROM o LEFT JOIN f USING (row_id)"""
+)
 def hit_metadata(spark: SparkSession, sf: str) -> DataFrame:
-    return projections.hit_metadata(table(spark, sf, "contraloria"))
+    """The members are written out in order, so that both sides compare as text."""
+    hits = projections.hit_metadata(table(spark, sf, "contraloria"), keep=("row_id",))
+    shown = F.transform(F.array_sort(F.map_entries("fields")), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("<null>"))))
+    return hits.withColumn("fields", F.array_join(shown, "|"))
 
 
 @query(
@@ -141,9 +151,19 @@ def spread_override(spark: SparkSession, sf: str) -> DataFrame:
     return hits.select("row_id", "idSentence", F.col("fields")["criterio"].alias("criterio"))
 
 
-@query("SELECT row_id, id || '.json' AS filename, '/path/to/' || id || '.json' AS file_path, (length(texto_sentencia) + length(regexp_replace(texto_sentencia, '[^\\x{10000}-\\x{10FFFF}]', '', 'g')))::BIGINT AS file_size FROM sentencias")
+_DOC = "id base url_corta_acceso_sentencia texto_sentencia caratulado_s era_sup_i tematica_ss".split()
+_JS_UNITS = "(length(c) + length(regexp_replace(c, '[^\\x{10000}-\\x{10FFFF}]', '', 'g')))::BIGINT"
+
+
+@query(
+    f"""WITH x AS (SELECT row_id, id, lower(base) AS collection, to_json(struct_pack({', '.join(f'{c} := {c}' for c in _DOC)}))::VARCHAR AS c, to_json(struct_pack("idSentence" := id, url := coalesce(url_corta_acceso_sentencia, '')))::VARCHAR AS metadata FROM sentencias)
+SELECT row_id, id, collection, id || '.json' AS filename, '/path/to/' || id || '.json' AS file_path, md5(c) AS content, metadata, {_JS_UNITS} AS file_size FROM x"""
+)
 def relational_row(spark: SparkSession, sf: str) -> DataFrame:
-    return projections.row_form(table(spark, sf, "sentencias"), "id", F.lower("base"), F.col("texto_sentencia"), keep=("row_id",)).select("row_id", "filename", "file_path", "file_size")
+    """The size is that of the serialised document; the document itself is shown by its digest."""
+    meta = F.struct(F.col("id").alias("idSentence"), S.or_text(F.col("url_corta_acceso_sentencia")).alias("url"))
+    rows = projections.row_form(table(spark, sf, "sentencias"), "id", F.lower("base"), F.struct(*_DOC), meta, keep=("row_id",))
+    return rows.withColumn("content", F.md5(F.col("content").cast("binary")))
 
 
 # --- filters and joins ---------------------------------------------------------------------------------------------------
@@ -182,13 +202,13 @@ def dedup_by_text(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT s.row_id, b.id_buscador, b.referer FROM sentencias s JOIN bases b ON lower(s.base) = b.base")
 def lookup_dim(spark: SparkSession, sf: str) -> DataFrame:
-    """Unknown bases are rejected. The dimension has nine rows."""
-    return table(spark, sf, "sentencias").withColumn("base", F.lower("base")).join(F.broadcast(table(spark, sf, "bases")), "base").select("row_id", "id_buscador", "referer")
+    """Unknown bases are rejected. Spark sees by the dimension's size whether to broadcast it."""
+    return table(spark, sf, "sentencias").withColumn("base", F.lower("base")).join(table(spark, sf, "bases"), "base").select("row_id", "id_buscador", "referer")
 
 
 @query("SELECT n.n_name, r.r_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey")
 def lookup_region(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "nation").join(F.broadcast(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name")
+    return table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name")
 
 
 @query("SELECT event_id FROM events WHERE hour(ts) >= 0 AND hour(ts) < 6")
@@ -270,10 +290,89 @@ def tier_config(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "archivos").groupBy("feed_id").agg(F.count("*").alias("n")).withColumn("t", projections.load_tier(F.col("n"))).select("feed_id", "n", "t.tier", "t.batch_size")
 
 
-@query("SELECT source, count(*) AS n, CASE WHEN count(*) >= 100 THEN 'excellent' WHEN count(*) >= 60 THEN 'good' WHEN count(*) >= 30 THEN 'moderate' ELSE 'slow' END AS class FROM documents GROUP BY source")
+@query(
+    """WITH r AS (SELECT source, count(*) * 60.0 / nullif((max(epoch_us(stored_at)) - min(epoch_us(stored_at))) / 1e6, 0) AS rate FROM documents GROUP BY source)
+SELECT source, round(rate, 4) AS docs_per_min, CASE WHEN rate >= 100 THEN 'excellent' WHEN rate >= 60 THEN 'good' WHEN rate >= 30 THEN 'moderate' ELSE 'slow' END AS class FROM r"""
+)
 def throughput_class(spark: SparkSession, sf: str) -> DataFrame:
-    n = F.col("n")
-    return table(spark, sf, "documents").groupBy("source").agg(F.count("*").alias("n")).withColumn("class", F.when(n >= 100, "excellent").when(n >= 60, "good").when(n >= 30, "moderate").otherwise("slow"))
+    t = F.unix_micros(F.col("stored_at").cast("timestamp"))
+    rate = table(spark, sf, "documents").groupBy("source").agg(F.try_divide(F.count("*") * 60.0, (F.max(t) - F.min(t)) / 1e6).alias("rate"))
+    return rate.select("source", F.round("rate", 4).alias("docs_per_min"), S.throughput_class(F.col("rate")).alias("class"))
+
+
+@query(
+    """WITH b AS (SELECT batch_no AS batch, count(*) AS docs, sum(greatest(1, ceil((n_chars - 80) / 720.0)))::BIGINT AS chunks, sum(n_chars)::BIGINT AS embed_ms, ((max(epoch_us(stored_at)) - min(epoch_us(stored_at))) // 1000)::BIGINT AS ms FROM documents GROUP BY batch_no),
+w AS (SELECT *, row_number() OVER o AS nth, count(*) OVER () AS of, sum(docs) OVER o AS done, sum(chunks) OVER o AS chunks_done, sum(embed_ms) OVER o AS embed, sum(ms) OVER o AS time FROM b WINDOW o AS (ORDER BY batch))
+SELECT batch, done::BIGINT AS done, chunks_done::BIGINT AS chunks_done, round(docs / nullif(ms / 1000.0, 0), 4) AS batch_rate, round(done / nullif(time / 1000.0, 0), 4) AS overall_rate, round(chunks_done * 1.0 / nullif(done, 0), 4) AS chunks_per_doc,
+round(embed * 1.0 / nullif(done, 0), 4) AS embed_ms_per_doc, round((of - nth) * time / nth / 1000.0, 4) AS rest_s FROM w"""
+)
+def batch_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums, rates, means and the time that is left. Characters stand for the milliseconds of a model, which the table lacks."""
+    t = F.unix_micros(F.col("stored_at").cast("timestamp"))
+    chunks = F.greatest(F.lit(1), F.ceil((F.col("n_chars") - 80) / F.lit(720.0)))
+    b = table(spark, sf, "documents").groupBy("batch_no").agg(F.count("*").alias("docs"), F.sum(chunks).cast("bigint").alias("chunks"), F.sum("n_chars").alias("embed_ms"), F.floor((F.max(t) - F.min(t)) / 1000).alias("ms"))
+    return metrics.batch_report(b, "batch_no", "docs", "chunks", "embed_ms", "ms")
+
+
+@query(
+    f"""WITH {_OUTCOME}, b AS (SELECT lote, count(*) FILTER (outcome = 'success') AS s, count(*) AS n, (max(epoch_us(ingested_at)) - min(epoch_us(ingested_at))) / 1e6 AS sec FROM o GROUP BY lote), r AS (SELECT *, n * 60.0 / nullif(sec, 0) AS rate FROM b)
+SELECT lote, n AS settled, round(s * 100.0 / n, 4) AS success_rate, round(rate, 4) AS docs_per_min, CASE WHEN rate >= 100 THEN 'excellent' WHEN rate >= 60 THEN 'good' WHEN rate >= 30 THEN 'moderate' ELSE 'slow' END AS class, round(10000 / nullif(rate * 60.0, 0), 4) AS hours FROM r"""
+)
+def run_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Settled documents, success rate, throughput and its class, and how long ten thousand documents would take."""
+    t = F.unix_micros(F.col("ingested_at").cast("timestamp"))
+    count = lambda o: F.count_if(F.col("outcome") == o).alias(o)
+    b = _outcomes(spark, sf).groupBy("lote").agg(count("success"), count("error"), count("duplicate"), ((F.max(t) - F.min(t)) / 1e6).alias("sec"))
+    return b.select("lote", *metrics.run_report(F.col("success"), F.col("error"), F.col("duplicate"), F.col("sec"), F.lit(10000)))
+
+
+@query("SELECT event_id, epoch_ms((SELECT max(ts) FROM events)) - epoch_ms(ts) > 6000000 AS expired FROM events")
+def session_expired(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether a session that began with an event is too old at the last one."""
+    events = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    last = events.agg(F.max("ts").alias("now"))
+    return events.crossJoin(F.broadcast(last)).select("event_id", S.session_expired(F.col("now"), F.col("ts")).alias("expired"))  # one row
+
+
+@query("WITH x AS (SELECT collection, count(DISTINCT id) AS size, count(*) AS total FROM documents GROUP BY collection) SELECT collection, size = 0 OR abs(size - total) > 20 AS stale FROM x")
+def cache_stale(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether a cache of distinct ids is off by more than twenty from what a collection holds."""
+    x = table(spark, sf, "documents").groupBy("collection").agg(F.count_distinct("id").alias("size"), F.count("*").alias("total"))
+    return x.select("collection", S.cache_stale(F.col("size"), F.col("total"), 20).alias("stale"))
+
+
+@query("SELECT DISTINCT file_name FROM archivos ORDER BY file_name LIMIT 50")
+def sample_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A sample of at most fifty files, the feature of a speed test."""
+    return table(spark, sf, "archivos").select("file_name").distinct().orderBy("file_name").limit(50)
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS stamp, translate(strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z', ':.', '--') AS file FROM events")
+def iso_stamps(spark: SparkSession, sf: str) -> DataFrame:
+    ts = F.col("ts").cast("timestamp")
+    return table(spark, sf, "events").select("event_id", S.iso_stamp(ts).alias("stamp"), S.file_stamp(ts).alias("file"))
+
+
+@query("SELECT event_id, true AS within, (2000 * 2 ** (event_id % 5))::BIGINT AS wait FROM events")
+def waits(spark: SparkSession, sf: str) -> DataFrame:
+    """Random waits stay within one to ten seconds, waits before an attempt double."""
+    return table(spark, sf, "events").select("event_id", S.random_delay_ms(7).between(1000, 9999).alias("within"), S.backoff_ms(2000, F.pmod("event_id", F.lit(5)) + 1).alias("wait"))
+
+
+@query("SELECT DISTINCT id FROM documents WHERE id IS NOT NULL")
+def id_cache(spark: SparkSession, sf: str) -> DataFrame:
+    """The ids of all documents, written as a cache and read from it."""
+    path = f"{shared_folder(spark)}/ids"
+    landed.save_id_cache(table(spark, sf, "documents").select("id"), path)
+    return landed.id_cache(spark, path)
+
+
+@query(f"{_FACETS} SELECT facet, value, count(*) AS n, min(row_id) AS first_seen FROM f GROUP BY facet, value")
+def facet_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The facets of all statutes, written as JSON and read from it."""
+    path = f"{shared_folder(spark)}/facets"
+    facets.save_json(facets.statute_facets(table(spark, sf, "normas")), path)
+    return facets.load_json(spark, path)
 
 
 # --- running state -------------------------------------------------------------------------------------------------------
@@ -326,7 +425,39 @@ def strip_tags(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "normas").select("row_id", F.md5(S.strip_tags(F.col("html")).cast("binary")).alias("h"))
 
 
-@query()
+def _markup(t: str) -> str:
+    t = f"regexp_replace({t}, '(?i)<span[^>]*>[^\\n\\r\\x{{2028}}\\x{{2029}}]*?</span>', '', 'g')"
+    t = f"""regexp_replace({t}, '(?is)<div[^>]*class=["'']?n rnp["'']?[^>]*>.*?</div>', '', 'g')"""
+    return f"regexp_replace({t}, '(?i)<a[^>]*>([^\\n\\r\\x{{2028}}\\x{{2029}}]*?)</a>', '\\1', 'g')"
+
+
+# The entities that the test tables hold; an ampersand is decoded last.
+_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
+
+
+def _decoded(t: str) -> str:
+    for entity, sign in _ENTITIES:
+        t = f"replace({t}, '{entity}', '{sign}')"
+    return t
+
+
+# Nodes from the top down, then the text of each list from the deepest level up.
+_STATUTE = f"""WITH RECURSIVE s AS (SELECT row_id, id_norm, try_cast(html AS JSON) AS j FROM normas), s1 AS (SELECT row_id, id_norm, {problems.held('j')} AS j FROM s), s2 AS (SELECT row_id, id_norm, {problems.held('j')} AS j FROM s1),
+n AS (
+  SELECT row_id, '' AS list, e.key::INTEGER AS pos, 0 AS d, CASE WHEN json_type(e.value) = 'OBJECT' THEN e.value END AS node FROM s2, LATERAL json_each(s2.j) e WHERE json_type(s2.j) = 'ARRAY'
+  UNION ALL
+  SELECT n.row_id, n.list || '/' || n.pos, e.key::INTEGER, n.d + 1, CASE WHEN json_type(e.value) = 'OBJECT' THEN e.value END FROM n, LATERAL json_each(n.node -> 'h') e WHERE json_type(n.node -> 'h') = 'ARRAY'),
+p AS (SELECT row_id, list, pos, d, CASE WHEN json_type(node -> 't') = 'VARCHAR' AND node ->> 't' <> '' THEN {_markup("(node ->> 't')")} || chr(10) ELSE '' END AS own, coalesce(json_type(node -> 'h') = 'ARRAY', false) AS has FROM n),
+m AS (
+  SELECT row_id, list, d, {_trim("string_agg(own || CASE WHEN has THEN chr(10) ELSE '' END, '' ORDER BY pos)")} AS t FROM p WHERE d = (SELECT max(d) FROM p) GROUP BY row_id, list, d
+  UNION ALL
+  SELECT p.row_id, p.list, p.d, {_trim("string_agg(p.own || CASE WHEN p.has THEN coalesce(m.t, '') || chr(10) ELSE '' END, '' ORDER BY p.pos)")}
+  FROM p LEFT JOIN m ON m.row_id = p.row_id AND m.list = p.list || '/' || p.pos WHERE p.d = (SELECT max(d) FROM m) - 1 GROUP BY p.row_id, p.list, p.d),
+r AS (SELECT s.row_id, s.id_norm, coalesce(m.t, '') AS markup FROM s LEFT JOIN m ON m.row_id = s.row_id AND m.list = '' AND m.d = 0)
+SELECT row_id, id_norm, markup, {_decoded(_trim("regexp_replace(markup, '</?[^>]+(>|$)', '', 'g')"))} AS text FROM r"""
+
+
+@query(_STATUTE)
 def statute_text(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "normas").withColumn("s", html.statute_text(F.col("html"))).select("row_id", "id_norm", "s.markup", "s.text")
 
@@ -352,10 +483,58 @@ def embed_text(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.embed(table(spark, sf, "documents").select("doc_id", "text"), "text").drop("text")
 
 
+_NONBLANK = f"length({_trim('text')}) > 0"
+
+
+@query(f"SELECT doc_id, true AS numbered, true AS within, true AS whole FROM documents WHERE {_NONBLANK}")
+def chunk_check(spark: SparkSession, sf: str) -> DataFrame:
+    """What chunks must be, for each text that isn't blank: numbered without gaps, at most 800 units long, found in the text."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    chunks = html.chunked(docs.withColumn("t", F.col("text")), "t")
+    return chunks.groupBy("doc_id").agg(
+        ((F.count_distinct("chunk_index") == F.count("*")) & (F.max("chunk_index") == F.count("*") - 1) & (F.max("total_chunks") == F.count("*"))).alias("numbered"),
+        (F.max(S.utf16_length(F.col("chunk"))) <= 800).alias("within"),
+        F.bool_and(F.col("text").contains(F.col("chunk"))).alias("whole"),
+    )
+
+
+@query(f"SELECT doc_id, true AS same FROM documents WHERE {_NONBLANK}")
+def double_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Splitting the chunks once more changes nothing."""
+    once = html.chunked(table(spark, sf, "documents").select("doc_id", "text"), "text").select("doc_id", F.col("chunk_index").alias("first"), F.col("chunk").alias("text"), F.col("chunk").alias("was"))
+    twice = html.chunked(once, "text")
+    return twice.groupBy("doc_id").agg(F.bool_and((F.col("chunk") == F.col("was")) & (F.col("total_chunks") == 1)).alias("same"))
+
+
+def _indexed(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", F.struct("id", "collection", "lang", "source").alias("metadata"))
+    return vectors.points(html.chunked(docs, "text"), "doc_id", "chunk_index", "chunk", metadata="metadata", stamp=F.timestamp_seconds(F.lit(0)))
+
+
 @query()
 def index_points(spark: SparkSession, sf: str) -> DataFrame:
-    chunks = html.chunked(table(spark, sf, "documents").select("doc_id", "text"), "text")
-    return vectors.points(chunks, "doc_id", "chunk_index", "chunk", metadata="metadata")
+    """Every chunk of every document with its vector and a payload that has the document's metadata."""
+    return _indexed(spark, sf)
+
+
+@query(f"SELECT doc_id, id, collection, source, '1970-01-01T00:00:00.000Z' AS stamp, true AS own, true AS unit FROM documents WHERE {_NONBLANK}")
+def index_check(spark: SparkSession, sf: str) -> DataFrame:
+    """What points must be, for each document: distinct ids, vectors of length 1 (0 for texts without words), the document's metadata."""
+    norm = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    p = F.col("payload")
+    return _indexed(spark, sf).groupBy("doc_id", p["id"].alias("id"), p["collection"].alias("collection"), p["source"].alias("source"), p["timestamp"].alias("stamp")).agg(
+        ((F.count_distinct("point_id") == F.count("*")) & (F.max(p["total_chunks"]) == F.count("*")) & (F.max(p["doc_id"]) == F.col("doc_id").cast("string"))).alias("own"), F.bool_and((F.abs(norm - 1) < 1e-5) | (norm == 0)).alias("unit")
+    )
+
+
+@query("SELECT label AS namespace, count(*) AS n, count(*) FILTER (len(embedding) <> 64) AS wrong_dim FROM embeddings GROUP BY label")
+def upsert_namespaces(spark: SparkSession, sf: str) -> DataFrame:
+    """Points written to a collection by namespace, twice, and counted; each namespace is a partition."""
+    path = f"{shared_folder(spark)}/collection"
+    new = table(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("point_id"), F.col("embedding").alias("vector"), F.col("label").alias("namespace"))
+    for _ in range(2):
+        vectors.upsert(new, path, dim=64, namespace="namespace")
+    return spark.read.parquet(f"{path}/points").groupBy("namespace").agg(F.count("*").alias("n"), F.count_if(F.size("vector") != 64).alias("wrong_dim"))
 
 
 @query("SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events")

@@ -49,7 +49,7 @@ def p4_objects(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = (p2_found, p2_unified, p2_schema, p4_found, p4_bridge, p4_objects)
 
 
-def _held(j: str) -> str:
+def held(j: str) -> str:
     """A JSON value, read once more where it is a string that holds JSON."""
     inner = f"try_cast({j} ->> '$' AS JSON)"
     return f"CASE WHEN json_type({j}) = 'VARCHAR' AND json_type({inner}) IN ('OBJECT', 'ARRAY', 'VARCHAR') THEN {inner} ELSE {j} END"
@@ -59,14 +59,14 @@ def _held(j: str) -> str:
 _P4 = f"""WITH RECURSIVE s AS (
   SELECT 'contraloria' AS source_table, row_id, '_source' AS path, try_cast(_source AS JSON) AS j FROM contraloria
   UNION ALL SELECT 'normas', row_id, 'html', try_cast(html AS JSON) FROM normas),
-s1 AS (SELECT source_table, row_id, path, {_held('j')} AS j FROM s), s2 AS (SELECT source_table, row_id, path, {_held('j')} AS j FROM s1),
+s1 AS (SELECT source_table, row_id, path, {held('j')} AS j FROM s), s2 AS (SELECT source_table, row_id, path, {held('j')} AS j FROM s1),
 n AS (
-  SELECT source_table, row_id, path, '' AS parent, '' AS own, false AS found, {_held('j')} AS j FROM s2
+  SELECT source_table, row_id, path, '' AS parent, '' AS own, false AS found, {held('j')} AS j FROM s2
   UNION ALL
   SELECT source_table, row_id, path, own, CASE WHEN found THEN path ELSE own END, found, j FROM (
     SELECT *, element AND json_type(j) = 'OBJECT' AS found FROM (
-      SELECT source_table, row_id, path, own, element, {_held('j')} AS j FROM (
-        SELECT source_table, row_id, path, own, element, {_held('j')} AS j FROM (
+      SELECT source_table, row_id, path, own, element, {held('j')} AS j FROM (
+        SELECT source_table, row_id, path, own, element, {held('j')} AS j FROM (
           SELECT n.source_table, n.row_id, n.own, json_type(n.j) = 'ARRAY' AS element, e.value AS j,
             n.path || CASE WHEN json_type(n.j) = 'ARRAY' THEN '[' || e.key || ']' ELSE '.' || e.key END AS path
           FROM n, LATERAL json_each(n.j) e WHERE json_type(n.j) IN ('OBJECT', 'ARRAY')))))

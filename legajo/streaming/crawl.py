@@ -30,7 +30,7 @@ def store(answers: DataFrame, out: str, model: vectors.Model | None = None, batc
     are those of the documents it brought, in a partition of its own; :func:`facet_table` adds them up.
     """
     spark = answers.sparkSession
-    valid = statutes(answers.filter("error is null and body is not null")).filter("metadatos is not null")
+    valid = statutes(answers.filter("error is null and body is not null")).filter("metadatos is not null").persist()
     meta = projections.statute_metadata(valid).join(valid.select(F.col("id_norm").alias("idNorm"), "markup", "text"), "idNorm")
     insert_if_absent(meta.withColumns({"id": F.col("idNorm").cast("string"), "batch": F.lit(batch)}), f"{out}/documents", ["id"], order="idNorm")
     shown = F.struct(*(c for c in meta.columns if c not in ("markup", "text")))
@@ -41,6 +41,7 @@ def store(answers: DataFrame, out: str, model: vectors.Model | None = None, batc
     # A failed write of a batch is repeated with the same ids and messages: one error row for each.
     wrong = answers.join(valid.select(F.col("row_id").alias("id")), "id", "left_anti").select("id", F.coalesce("error", F.lit("not a statute")).alias("message"))
     insert_if_absent(wrong.withColumn("at", F.current_timestamp()), f"{out}/errors", ["id", "message"])
+    valid.unpersist()
 
 
 def facet_table(spark: SparkSession, out: str) -> DataFrame:
