@@ -10,23 +10,75 @@ import re
 import unicodedata
 from functools import lru_cache
 
-# Letters of one shape, as Latin, then Greek, then Cyrillic; "." where a script has none.
-SHAPES = (
-    "AΑА BΒВ C.С EΕЕ HΗН IΙІ J.Ј KΚК MΜМ NΝ. OΟО PΡР S.Ѕ TΤТ XΧХ YΥҮ ZΖ. Q.Ԛ W.Ԝ "
-    "a.а c.с d.ԁ e.е h.һ i.і j.ј l.ӏ oοо p.р q.ԛ s.ѕ vνѵ w.ԝ x.х y.у"
-).split()
-SCRIPTS = ("LATIN", "GREEK", "CYRILLIC")
+import regex
+
+# Letters of one shape, one row each, by script in the order of SCRIPTS; "." where a script has none.
+SCRIPTS = ("Latin", "Greek", "Cyrillic", "Armenian", "Cherokee", "Lisu")
+SHAPES = """
+A Α А . Ꭺ ꓮ
+B Β В . Ᏼ ꓐ
+C Ϲ С . Ꮯ ꓚ
+D . . . Ꭰ ꓓ
+E Ε Е . Ꭼ ꓰ
+F Ϝ . . . ꓝ
+G . Ԍ . Ꮐ ꓖ
+H Η Н . Ꮋ ꓧ
+I Ι І . . ꓲ
+J Ϳ Ј . Ꭻ ꓙ
+K Κ К . Ꮶ ꓗ
+L . . . Ꮮ ꓡ
+M Μ М . Ꮇ ꓟ
+N Ν . . . ꓠ
+O Ο О Օ . ꓳ
+P Ρ Р . Ꮲ ꓑ
+Q . Ԛ . . .
+R . . . Ꭱ ꓣ
+S . Ѕ Տ Ꮪ ꓢ
+T Τ Т . Ꭲ ꓔ
+U . . Ս . ꓴ
+V . Ѵ . Ꮩ ꓦ
+W . Ԝ . Ꮃ ꓪ
+X Χ Х . . ꓫ
+Y Υ Ү . . ꓬ
+Z Ζ . . Ꮓ ꓜ
+a . а . . .
+c ϲ с . . .
+d . ԁ . . .
+e . е . . .
+g . . ց . .
+h . һ հ . .
+i . і . . .
+j ϳ ј յ . .
+l . ӏ . . .
+n . . ո . .
+o ο о օ . .
+p ρ р . . .
+q . ԛ զ . .
+s . ѕ . . .
+u υ . ս . .
+v ν ѵ . . .
+w . ԝ . . .
+x . х . . .
+y . у . . .
+"""
+# Further letters of a script with the shape of a row's Latin letter.
+MORE = {"Ӏ": "I", "Ꮢ": "R", "ɑ": "a", "ɡ": "g"}
 
 #: letter -> {script: letter of the same shape}
-ALIKE: dict[str, dict[str, str]] = {
-    letter: {s: c for s, c in zip(SCRIPTS, row) if c != "."} for row in SHAPES for letter in row if letter != "."
-}
+ALIKE: dict[str, dict[str, str]] = {}
+for _row in SHAPES.split("\n"):
+    _shapes = {s: c for s, c in zip(SCRIPTS, _row.split()) if c != "."}
+    ALIKE |= dict.fromkeys(_shapes.values(), _shapes)
+for _letter, _latin in MORE.items():
+    _own = next(s for s in SCRIPTS if regex.fullmatch(rf"\p{{scx={s}}}", _letter))
+    # As a letter of its own script it stays what it is, unless that is Latin.
+    ALIKE[_letter] = ALIKE[_latin] if _own == "Latin" else {**ALIKE[_latin], _own: _letter}
 
 
 def _forms() -> dict[int, str | None]:
-    """Full-width, ligature, space, hyphen and invisible characters and what they become."""
+    """Full-width, ligature, styled, numeral, space, hyphen and invisible characters and what they become."""
     out: dict[int, str | None] = {}
-    for cp in [*range(0x80, 0x3400), *range(0xA000, 0xAC00), *range(0xF900, 0x10000), *range(0xE0100, 0xE01F0)]:
+    for cp in [*range(0x80, 0x3400), *range(0xA000, 0xAC00), *range(0xF900, 0x10000), *range(0x1D400, 0x1D800), *range(0xE0100, 0xE01F0)]:
         c = chr(cp)
         kind = unicodedata.decomposition(c)
         name = unicodedata.name(c, "")
@@ -34,26 +86,28 @@ def _forms() -> dict[int, str | None]:
             out[cp] = " "
         elif (unicodedata.category(c) == "Cf" and "NUMBER" not in name and "SIGN" not in name and "END OF AYAH" not in name) or "VARIATION SELECTOR" in name or name.endswith(("FILLER", "GRAPHEME JOINER")):
             out[cp] = None
-        elif name in ("HYPHEN", "NON-BREAKING HYPHEN"):
+        elif name in ("HYPHEN", "NON-BREAKING HYPHEN", "MINUS SIGN"):
             out[cp] = "-"
-        elif kind.startswith(("<wide>", "<narrow>")) or (kind.startswith("<compat>") and "LIGATURE" in name):
+        elif kind.startswith(("<wide>", "<narrow>", "<font>")) or (kind.startswith("<compat>") and ("LIGATURE" in name or "ROMAN NUMERAL" in name)):
             out[cp] = unicodedata.normalize("NFKD", c)
     return out
 
 
 FORMS = _forms()
 #: Anything beyond composed Latin letters and signs; without it a text is in canonical form already.
-ODD = re.compile("[^\\x00-\\x9f\\xa1-\\xac\\xae-\\u02af\\u2013\\u2014\\u2018-\\u201f\\u2022\\u2026\\u20ac]")
-_FOREIGN = re.compile("[\\u0370-\\u052f\\u0531-\\u0587]")
+ODD = re.compile("[^\\x00-\\x9f\\xa1-\\xac\\xae-\\u0250\\u0252-\\u0260\\u0262-\\u02af\\u2013\\u2014\\u2018-\\u201f\\u2022\\u2026\\u20ac]")
+_FOREIGN = re.compile("[\\u0251\\u0261\\u0370-\\u052f\\u0531-\\u0587\\u13a0-\\u13ff\\ua4d0-\\ua4ff]")
 _TOKEN = re.compile(r"(?:[^\W\d_][\u0300-\u036f]*)+")
 
 
 @lru_cache(maxsize=65536)
-def script(letter: str) -> str:
-    """The script of a letter, by the first word of its name."""
-    return unicodedata.name(letter, "NONE").split(" ")[0]
+def scripts(letter: str) -> frozenset[str]:
+    """The scripts that a letter is used in (Script_Extensions); of others than SCRIPTS the first word of its name."""
+    found = frozenset(s for s in SCRIPTS if regex.fullmatch(rf"\p{{scx={s}}}", letter))
+    return found or frozenset({unicodedata.name(letter, "NONE").split(" ")[0].title()})
 
 
+@lru_cache(maxsize=65536)
 def resolve(token: str) -> tuple[str, str]:
     """A token of decomposed letters in the spelling of one script, and what it was.
 
@@ -61,14 +115,14 @@ def resolve(token: str) -> tuple[str, str]:
     none, ``whole`` when they have one but all letters have the shapes of Latin ones too. A token becomes Latin where
     that spells it wholly, else the script that does; where no script does, each letter takes its first shape.
     """
-    own: set[str] | None = None
-    able: set[str] | None = None
+    own: frozenset[str] | None = None
+    able: frozenset[str] | None = None
     for c in token:
         if unicodedata.combining(c):
             continue
-        mine = {script(c)}
+        mine = scripts(c)
         own = mine if own is None else own & mine
-        shapes = set(ALIKE.get(c, ())) | mine
+        shapes = mine | ALIKE[c].keys() if c in ALIKE else mine
         able = shapes if able is None else able & shapes
     if not able:
         return "".join(next(iter(ALIKE[c].values())) if c in ALIKE else c for c in token), "mixed"

@@ -1,8 +1,9 @@
 """Problem 7: evaluation passages in training text.
 
 Template canonicalisation: numbers, names and units become typed placeholders, windows of the resulting template are joined
-by hash, and the values in the placeholders' places (slots) are compared. Equal slots are a verbatim passage; slots that
-differ by one consistent substitution are a re-parameterised one.
+by hash, and the values in the placeholders' places (slots) are compared. Equal slots are a verbatim passage: these windows are
+joined by the digest of their slots too, so that a common template makes no large group. Slots that differ by one consistent
+substitution are a re-parameterised passage; there names of any number of words are one placeholder.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ WINDOW = 15
 #: Window hashes of the evaluation set that a task may hold; a larger set is tested by a bit table of fixed size first.
 MAX_HASHES = 1 << 22
 FILTER_BITS = 1 << 27
+#: Words of a re-parameterised window that are no placeholders, at least; numbers and names alone make no question.
+LEAST_LITERAL = 5
 #: Characters of evaluation texts that are looked for in one pass over the documents.
 BLOCK_CHARS = 1 << 24
 
@@ -40,21 +43,35 @@ def _hash(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word) | 8  # never one of the placeholder codes
 
 
-def names_of(texts: list[str]) -> tuple[set[str], set[str]]:
-    """(names, other words) of the evaluation texts: a name is written large inside a sentence and never small."""
-    large: set[str] = set()
-    small: set[str] = set()
-    for text in texts:
+class Names:
+    """The words of evaluation texts that are names: written large inside a sentence and never small, in any of the texts."""
+
+    def __init__(self) -> None:
+        self.large: set[str] = set()
+        self.small: set[str] = set()
+        self.every: set[str] = set()
+
+    def add(self, text: str) -> None:
         for sentence in _SENTENCE.split(text):
-            found = fold.words(sentence, lower=False)
-            for k, w in enumerate(found):
+            for k, w in enumerate(fold.words(sentence, lower=False)):
                 if w[:1].islower():
-                    small.add(w)
+                    self.small.add(w.lower())
                 elif k and w[:1].isupper():
-                    large.add(w.lower())
-    names = large - {w.lower() for w in small}
-    every = {w for t in texts for w in fold.words(t)}
-    return names, every - names
+                    self.large.add(w.lower())
+        self.every.update(fold.words(text))
+
+    def told(self) -> tuple[set[str], set[str]]:
+        """(names, other words)."""
+        names = self.large - self.small
+        return names, self.every - names
+
+
+def names_of(texts: list[str]) -> tuple[set[str], set[str]]:
+    """(names, other words) of evaluation texts."""
+    found = Names()
+    for text in texts:
+        found.add(text)
+    return found.told()
 
 
 class _Codes(dict):
@@ -103,12 +120,27 @@ def window_hashes(codes: np.ndarray, window: int = WINDOW) -> np.ndarray:
         return out ^ (out >> np.uint64(31))
 
 
-_SCHEMA = "i bigint, hash bigint, at int, slots array<string>"
-_ARROW = pa.schema([("i", pa.int64()), ("hash", pa.int64()), ("at", pa.int32()), ("slots", pa.list_(pa.string()))])
+_SCHEMA = "i bigint, hash bigint, at int, slots array<string>, digest bigint"
+_ARROW = pa.schema([("i", pa.int64()), ("hash", pa.int64()), ("at", pa.int32()), ("slots", pa.list_(pa.string())), ("digest", pa.int64())])
+
+
+def _collapsed(words: list[str], codes: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """The same with each run of names as one."""
+    name = codes == _NAME
+    first = ~name | ~np.r_[False, name[:-1]]
+    if first.all():
+        return words, codes
+    at = np.nonzero(first)[0]
+    ends = np.r_[at[1:], len(words)]
+    return [words[a] if b == a + 1 else " ".join(words[a:b]) for a, b in zip(at.tolist(), ends.tolist())], codes[at]
+
 
+def _rows(ids: list, texts: list[str | None], codes: _Codes, window: int, keep, exact: bool = True) -> pa.RecordBatch:
+    """The windows of a batch of texts whose hash ``keep`` accepts, hashed all at once.
 
-def _rows(ids: list, texts: list[str | None], codes: _Codes, window: int, keep) -> pa.RecordBatch:
-    """The windows of a batch of texts whose hash ``keep`` accepts, hashed all at once."""
+    ``exact``: windows of words, with the digest of their slots. Else windows of the template, with the slots, of which
+    LEAST_LITERAL words at least are no placeholders.
+    """
     get = codes.__getitem__
     where, words, arrays = [], [], []
     for i, text in zip(ids, texts):
@@ -116,10 +148,13 @@ def _rows(ids: list, texts: list[str | None], codes: _Codes, window: int, keep)
             continue
         found = fold.words(text, lower=False)
         if len(found) >= window:
+            coded = np.fromiter(map(get, found), dtype=np.uint64, count=len(found))
+            if not exact:
+                found, coded = _collapsed(found, coded)
             where.append(i)
             words.append(found)
-            arrays.append(np.fromiter(map(get, found), dtype=np.uint64, count=len(found)))
-    out: tuple[list, list, list, list] = ([], [], [], [])
+            arrays.append(coded)
+    out: tuple[list, ...] = ([], [], [], [], [])
     if arrays:
         every = np.concatenate(arrays)
         starts = np.concatenate([[0], np.cumsum([len(a) for a in arrays])])
@@ -128,6 +163,9 @@ def _rows(ids: list, texts: list[str | None], codes: _Codes, window: int, keep)
         bad = np.concatenate([[0], np.cumsum(every == _OTHER)])
         n = len(hashes)
         ok = (bad[window : window + n] == bad[:n]) if n else np.zeros(0, bool)
+        if not exact and n:
+            literal = np.concatenate([[0], np.cumsum(every > _NAME)])
+            ok &= literal[window : window + n] - literal[:n] >= min(LEAST_LITERAL, window)
         doc = np.searchsorted(starts, np.arange(n), side="right") - 1
         ok &= np.arange(n) + window <= starts[doc + 1]
         at = np.nonzero(ok)[0]
@@ -135,11 +173,12 @@ def _rows(ids: list, texts: list[str | None], codes: _Codes, window: int, keep)
         for p in at.tolist():
             d = int(doc[p])
             k = p - int(starts[d])
-            c = arrays[d][k : k + window]
+            slots = [words[d][k + j].lower() for j in np.nonzero(arrays[d][k : k + window] <= _NAME)[0].tolist()]
             out[0].append(where[d])
             out[1].append(int(hashes[p].astype(np.int64)))
             out[2].append(k)
-            out[3].append([words[d][k + j].lower() for j in np.nonzero(c <= _NAME)[0].tolist()])
+            out[3].append(None if exact else slots)
+            out[4].append(xxhash.xxh3_64_intdigest("\n".join(slots)) - (1 << 63) if exact else None)
     return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, _ARROW)], schema=_ARROW)
 
 
@@ -180,43 +219,57 @@ def _blocks(items: DataFrame, item_col: str, text_col: str) -> Iterator[list[tup
     yield rows
 
 
-def leaks(docs: DataFrame, items: DataFrame, doc_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def _named(items: DataFrame, item_col: str, text_col: str) -> tuple[set[str], set[str]]:
+    """Names and other words of the whole evaluation set, whatever blocks it is read in; the driver holds its vocabulary."""
+    found = Names()
+    for rows in _blocks(items, item_col, text_col):
+        for _, text in rows:
+            found.add(text)
+    return found.told()
+
+
+def leaks(docs: DataFrame, items: DataFrame, doc_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text", window: int = WINDOW, exact_only: bool = False) -> DataFrame:
     """(doc, item, kind, windows): documents that share template windows with evaluation items.
 
     ``kind`` is ``verbatim`` (slots equal), ``reparameterised`` (slots differ by a one-to-one substitution) or ``template``
     (slots contradict each other); ``windows`` counts the windows of that kind. The evaluation items are a stated query set:
     the driver reads them in blocks of a fixed size, each of which goes to the tasks. Windows of documents leave a task only
     where some item has them. Null and short texts and null ids have no windows, repeated rows of an id count together, empty
-    tables give none.
+    tables give none. With ``exact_only`` just the verbatim windows are looked for.
     """
-    parts = [_leaks(docs, rows, doc_col, item_col, text_col, window) for rows in _blocks(items, item_col, text_col)]
+    told = _named(items, item_col, text_col)
+    parts = []
+    for rows in _blocks(items, item_col, text_col):
+        parts.append(_leaks(docs, rows, told, doc_col, item_col, text_col, window, True))
+        if not exact_only:
+            parts.append(_leaks(docs, rows, told, doc_col, item_col, text_col, window, False))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _leaks(docs: DataFrame, rows: list[tuple[int, str]], doc_col: str, item_col: str, text_col: str, window: int) -> DataFrame:
-    names, others = names_of([t for _, t in rows])
-    mine = _rows([i for i, _ in rows], [t for _, t in rows], _Codes(names, others), window, lambda h: np.ones(len(h), bool))
+def _leaks(docs: DataFrame, rows: list[tuple[int, str]], told: tuple[set[str], set[str]], doc_col: str, item_col: str, text_col: str, window: int, exact: bool) -> DataFrame:
+    names, others = told
+    mine = _rows([i for i, _ in rows], [t for _, t in rows], _Codes(names, others), window, lambda h: np.ones(len(h), bool), exact)
     keep = _filter(mine.column("hash").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
     spark = docs.sparkSession
-    asked = spark.createDataFrame(pa.Table.from_batches([mine]).rename_columns(["item", "hash", "item_at", "item_slots"])) if mine.num_rows else spark.createDataFrame([], "item bigint, hash bigint, item_at int, item_slots array<string>")
+    columns = ["item", "hash", "item_at", "item_slots", "item_digest"]
+    asked = spark.createDataFrame(pa.Table.from_batches([mine]).rename_columns(columns)) if mine.num_rows else spark.createDataFrame([], "item bigint, hash bigint, item_at int, item_slots array<string>, item_digest bigint")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = _Codes(names, others)
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 part = batch.slice(lo, 1000)
-                yield _rows(part.column("i").to_pylist(), part.column("t").to_pylist(), codes, window, keep)
+                yield _rows(part.column("i").to_pylist(), part.column("t").to_pylist(), codes, window, keep, exact)
 
     found = docs.select(F.col(doc_col).cast("bigint").alias("i"), F.col(text_col).alias("t")).mapInArrow(run, _SCHEMA)
-    both = found.join(asked, "hash")
-    pairs = F.array_distinct(F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b"))))
-    one_to_one = (F.size(pairs) == F.size(F.array_distinct("item_slots"))) & (F.size(pairs) == F.size(F.array_distinct("slots")))
-    kind = F.when(F.col("slots") == F.col("item_slots"), "verbatim").when(one_to_one, "reparameterised").otherwise("template")
-    return (
-        both.select(F.col("i").alias(doc_col), F.col("item").alias(item_col), kind.alias("kind"), "at")
-        .groupBy(doc_col, item_col, "kind")
-        .agg(F.count_distinct("at").alias("windows"))
-    )
+    if exact:
+        both = found.join(asked.select("item", "hash", F.col("item_digest").alias("digest")), ["hash", "digest"]).withColumn("kind", F.lit("verbatim"))
+    else:
+        both = found.join(asked, "hash").filter(F.col("slots") != F.col("item_slots"))
+        pairs = F.array_distinct(F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b"))))
+        one_to_one = (F.size(pairs) == F.size(F.array_distinct("item_slots"))) & (F.size(pairs) == F.size(F.array_distinct("slots")))
+        both = both.withColumn("kind", F.when(one_to_one, "reparameterised").otherwise("template"))
+    return both.select(F.col("i").alias(doc_col), F.col("item").alias(item_col), "kind", "at").groupBy(doc_col, item_col, "kind").agg(F.count_distinct("at").alias("windows"))
 
 
 def verbatim(found: DataFrame, doc_col: str = "doc_id", item_col: str = "item_id") -> DataFrame:

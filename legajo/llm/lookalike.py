@@ -87,7 +87,7 @@ def look_alikes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """Pairs (doc_a < doc_b) of non-blank texts that look the same but aren't the same characters.
 
     Each document is paired with the first document of every other spelling of its look, so that no link between different
-    texts is lost and exact copies grow the result only in proportion. Null and blank texts and null ids have no pairs,
+    texts is lost and exact copies grow the result only in proportion; :func:`classes` has one row for each document instead. Null and blank texts and null ids have no pairs,
     repeated rows of one id with one text count once, an empty table gives none.
     """
     # The digests are used twice; written out, they are made once.
@@ -100,3 +100,14 @@ def look_alikes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         .select(F.least("i", "first").alias("doc_a"), F.greatest("i", "first").alias("doc_b"))
         .distinct()
     )
+
+
+def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, look_id, spelling_id) of each non-blank text: the first document of its look, and of its look and characters.
+
+    One row for each document, however many spellings a look has. Null ids and blank texts have no row.
+    """
+    found = materialise(looks(df, id_col, text_col), shared_folder(df.sparkSession), "looks")
+    spelled = found.groupBy("look", "chars").agg(F.min("i").alias("spelling_id"))
+    named = spelled.join(spelled.groupBy("look").agg(F.min("spelling_id").alias("look_id")), "look")
+    return found.join(named, ["look", "chars"]).select(F.col("i").alias(id_col), "look_id", "spelling_id").distinct()

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 CAPACITY = 4096
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
-#: Texts of one packing task. Each task packs alone and leaves at most a few containers less full.
+#: Pieces of one packing task. Each task packs alone and leaves at most a few containers less full.
 SHARD_ROWS = 50_000
 
 
@@ -129,10 +129,12 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity
     """Assign every text to a container: (id, part_no, start_byte, end_byte, tokens, container_id).
 
     Only ids and sizes are shuffled, never texts. Texts are spread over as many shards as ``shard_rows`` asks for, by a hash
-    of their id and part, and each shard packs by itself, so a task holds a bounded number of sizes. Null texts have no row,
+    of their id and part, and each shard packs by itself, so a task holds about ``shard_rows`` sizes. Null texts have no row,
     an empty text takes its end token, repeated rows are packed each for itself.
     """
-    shards = max(1, math.ceil(df.count() / shard_rows))
+    bytes_ = F.octet_length(text_col)
+    count = F.when(bytes_ + 1 <= capacity, F.lit(1)).otherwise(F.ceil(bytes_ / F.lit(capacity - 4)))
+    shards = max(1, math.ceil((df.agg(F.sum(count)).first()[0] or 0) / shard_rows))
     pieces = parts(df, id_col, text_col, capacity)
     kind = df.schema[id_col].dataType.simpleString()
 

@@ -96,7 +96,7 @@ def _snap(text: str, lo: int, target: int, hi: int) -> tuple[int, str]:
 def split(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int, int, str]]:
     """Pieces (start, own_start, end, boundary): [start, end) in code points, [own_start, end) without the overlap.
 
-    Own parts follow each other and cover the text. A piece repeats up to ``overlap`` units of the one before, from the
+    Own parts follow each other and cover the text; with one piece less some limit would fail. A piece repeats up to ``overlap`` units of the one before, from the
     first natural boundary among these. ``boundary`` names where the piece ends; ``none`` is a cut inside a word.
     """
     if not 0 <= overlap < limit // 2:
@@ -107,11 +107,18 @@ def split(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[i
     if units.total <= limit:
         return [(0, 0, len(text), "end")]
     n = max(2, math.ceil((units.total - overlap) / (limit - overlap)))
-    while True:
-        pieces = _balanced(text, units, n, limit, overlap)
-        if pieces is not None:
-            return pieces
-        n += max(1, n // 64)  # one more; more at a time in very long texts
+    # One piece more, two, four ... until no limit fails; then the least number between the last that failed and that one.
+    failed, step = n - 1, 1
+    while (found := _balanced(text, units, n, limit, overlap)) is None:
+        failed, n, step = n, n + step, 2 * step
+    while n - failed > 1:
+        middle = (failed + n) // 2
+        pieces = _balanced(text, units, middle, limit, overlap)
+        if pieces is None:
+            failed = middle
+        else:
+            n, found = middle, pieces
+    return found
 
 
 def _balanced(text: str, units: _Units, n: int, limit: int, overlap: int) -> list[tuple[int, int, int, str]] | None:
@@ -153,8 +160,8 @@ def _balanced(text: str, units: _Units, n: int, limit: int, overlap: int) -> lis
 _PIECES = pa.list_(pa.struct([("piece_no", pa.int32()), ("start_pos", pa.int32()), ("own_start", pa.int32()), ("end_pos", pa.int32()), ("boundary", pa.string())]))
 
 
-def plan(df: DataFrame, id_cols: list[str], text_col: str, limit: int = LIMIT, overlap: int = OVERLAP, with_text: bool = False) -> DataFrame:
-    """(id_cols, unbroken, pieces[, text]): where each non-blank text is to be cut.
+def plan(df: DataFrame, id_cols: list[str], text_col: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
+    """(id_cols, unbroken, pieces): where each non-blank text is to be cut.
 
     Null, empty and blank texts have no row. Texts under the limit have one piece. ``unbroken`` tells that a stretch without
     whitespace exceeds the limit, so that some piece ends inside it. Other columns are ignored.
@@ -172,20 +179,52 @@ def plan(df: DataFrame, id_cols: list[str], text_col: str, limit: int = LIMIT, o
                 solid.append(len(pieces) > 1 and _solid_over(text, limit))
                 out.append([{"piece_no": i, "start_pos": p[0], "own_start": p[1], "end_pos": p[2], "boundary": p[3]} for i, p in enumerate(pieces)])
             rows = batch.take(pa.array(keep, pa.int64()))
-            cols = [rows.column(n) for n in names] + [pa.array(solid, pa.bool_()), pa.array(out, _PIECES)] + ([rows.column("t")] if with_text else [])
-            yield pa.RecordBatch.from_arrays(cols, [*names, "unbroken", "pieces", *(["t"] if with_text else [])])
+            cols = [rows.column(n) for n in names] + [pa.array(solid, pa.bool_()), pa.array(out, _PIECES)]
+            yield pa.RecordBatch.from_arrays(cols, [*names, "unbroken", "pieces"])
 
     kinds = ", ".join(f"{n} {df.schema[c].dataType.simpleString()}" for n, c in zip(names, id_cols))
-    schema = f"{kinds}, unbroken boolean, pieces array<struct<piece_no:int,start_pos:int,own_start:int,end_pos:int,boundary:string>>" + (", t string" if with_text else "")
+    schema = f"{kinds}, unbroken boolean, pieces array<struct<piece_no:int,start_pos:int,own_start:int,end_pos:int,boundary:string>>"
     out = df.select(*(F.col(c).alias(n) for n, c in zip(names, id_cols)), F.col(text_col).alias("t")).mapInArrow(run, schema)
-    return out.select(*(F.col(n).alias(c) for n, c in zip(names, id_cols)), "unbroken", "pieces", *([F.col("t").alias("text")] if with_text else []))
+    return out.select(*(F.col(n).alias(c) for n, c in zip(names, id_cols)), "unbroken", "pieces")
+
+
+_PIECE = pa.schema([("k", pa.int32()), ("piece_no", pa.int32()), ("start_pos", pa.int32()), ("own_start", pa.int32()), ("end_pos", pa.int32()), ("boundary", pa.string()), ("piece", pa.string())])
+#: Characters of pieces that a batch of results holds about.
+FLUSH = 1 << 23
 
 
 def pieces(df: DataFrame, id_cols: list[str], text_col: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
-    """One row for each piece: id_cols, piece_no, start_pos, own_start, end_pos, boundary, piece."""
-    planned = plan(df, id_cols, text_col, limit, overlap, with_text=True)
-    each = planned.select(*id_cols, "text", F.explode("pieces").alias("p"))
-    return each.select(*id_cols, "p.*", F.col("text").substr(F.col("p.start_pos") + 1, F.col("p.end_pos") - F.col("p.start_pos")).alias("piece"))
+    """One row for each piece: id_cols, piece_no, start_pos, own_start, end_pos, boundary, piece.
+
+    Texts are cut where they are read, so that the work grows with their length. Null, empty and blank texts have no pieces.
+    """
+    names = [f"k{i}" for i in range(len(id_cols))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[] for _ in _PIECE]
+            size = 0
+
+            def done(batch: pa.RecordBatch = batch) -> pa.RecordBatch:
+                cols = [batch.column(n).take(pa.array(out[0], pa.int32())) for n in names] + [pa.array(x, f.type) for x, f in zip(out[1:], list(_PIECE)[1:])]
+                return pa.RecordBatch.from_arrays(cols, [*names, *_PIECE.names[1:]])
+
+            for k, cell in enumerate(batch.column("t")):
+                text = cell.as_py()
+                if text is None or not _SOLID.search(text):
+                    continue
+                for no, (start, own, end, kind) in enumerate(split(text, limit, overlap)):
+                    for column, x in zip(out, (k, no, start, own, end, kind, text[start:end])):
+                        column.append(x)
+                    size += end - start
+                    if size > FLUSH:
+                        yield done()
+                        out, size = [[] for _ in _PIECE], 0
+            yield done()
+
+    kinds = ", ".join(f"{n} {df.schema[c].dataType.simpleString()}" for n, c in zip(names, id_cols))
+    out = df.select(*(F.col(c).alias(n) for n, c in zip(names, id_cols)), F.col(text_col).alias("t")).mapInArrow(run, f"{kinds}, piece_no int, start_pos int, own_start int, end_pos int, boundary string, piece string")
+    return out.select(*(F.col(n).alias(c) for n, c in zip(names, id_cols)), *_PIECE.names[1:])
 
 
 def needs(planned: DataFrame, id_cols: list[str]) -> DataFrame:
