@@ -76,28 +76,31 @@ def looks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
 
 
 def variants(found: DataFrame) -> DataFrame:
-    """One row for each distinct spelling of a look that has several: look, chars, the first document, the number of copies."""
-    spelled = found.groupBy("look", "chars").agg(F.min("i").alias("first"), F.count("*").alias("copies"))
+    """One row for each distinct spelling of a look that has several: look, chars, the first document and the second (or null)."""
+    spelled = found.groupBy("look", "chars").agg(F.min("i").alias("first"))
     # Not a window over the look: a look has few spellings, but a hot one must not gather its rows in a task.
     several = spelled.groupBy("look").agg(F.count("*").alias("n")).filter("n > 1").select("look")
-    return spelled.join(several, "look", "left_semi")
+    spelled = spelled.join(several, "look", "left_semi")
+    later = found.join(spelled, ["look", "chars"]).filter("i > first").groupBy("look", "chars").agg(F.min("i").alias("second"))
+    return spelled.join(later, ["look", "chars"], "left")
 
 
 def look_alikes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pairs (doc_a < doc_b) of non-blank texts that look the same but aren't the same characters.
 
-    Each document is paired with the first document of every other spelling of its look, so that no link between different
-    texts is lost and exact copies grow the result only in proportion; :func:`classes` has one row for each document instead. Null and blank texts and null ids have no pairs,
-    repeated rows of one id with one text count once, an empty table gives none.
+    Each document is paired with the first two documents of every other spelling of its look, so that no link between different
+    texts is lost and exact copies grow the result only in proportion; :func:`classes` has one row for each document instead.
+    Null and blank texts and null ids have no pairs, repeated rows of one id with one text count once, an empty table gives
+    none.
     """
-    # The digests are used twice; written out, they are made once.
+    # The digests are used several times; written out, they are made once.
     found = materialise(looks(df, id_col, text_col), shared_folder(df.sparkSession), "looks")
     kinds = variants(found)
-    other = kinds.select(F.col("look"), F.col("chars").alias("other_chars"), F.col("first"))
+    other = kinds.select("look", F.col("chars").alias("other_chars"), F.explode(F.array_compact(F.array("first", "second"))).alias("j"))
     return (
         found.join(other, "look")
-        .filter((F.col("chars") != F.col("other_chars")) & (F.col("i") != F.col("first")))
-        .select(F.least("i", "first").alias("doc_a"), F.greatest("i", "first").alias("doc_b"))
+        .filter((F.col("chars") != F.col("other_chars")) & (F.col("i") != F.col("j")))
+        .select(F.least("i", "j").alias("doc_a"), F.greatest("i", "j").alias("doc_b"))
         .distinct()
     )
 

@@ -147,8 +147,8 @@ def _look(t: str) -> str:
 
 _P8 = f"""
 WITH x AS (SELECT doc_id, text, {_look('text')} AS look FROM documents WHERE length(regexp_replace(text, '{_SPACE}', '', 'g')) > 0),
-f AS (SELECT look, text, min(doc_id) AS first FROM x GROUP BY look, text)
-SELECT DISTINCT least(x.doc_id, f.first) AS doc_a, greatest(x.doc_id, f.first) AS doc_b FROM x JOIN f USING (look) WHERE x.text <> f.text
+f AS (SELECT look, text, doc_id AS j FROM (SELECT *, row_number() OVER (PARTITION BY look, text ORDER BY doc_id) AS k FROM x) WHERE k <= 2)
+SELECT DISTINCT least(x.doc_id, f.j) AS doc_a, greatest(x.doc_id, f.j) AS doc_b FROM x JOIN f USING (look) WHERE x.text <> f.text
 """
 
 _P8_CLASSES = f"""

@@ -85,3 +85,24 @@ def test_bit_table_lets_all_members_pass(monkeypatch):
     keep = leak._filter(h)
     assert keep(h).all()
     assert keep(h + np.uint64(1)).mean() < 0.1
+
+
+def test_tables_of_numbers_are_no_questions(spark):
+    item = "monto " + " ".join(str(k) for k in range(100, 140))
+    other = "monto " + " ".join(str(k) for k in range(500, 540))
+    assert found(spark, [(1, other), (2, "x " + item)], [(1, item)]) == [(2, 1, "verbatim")]
+
+
+def test_names_of_other_lengths(spark):
+    text = "En la causa el perito Juan Soto declaró que la suma adeudada por el señor Pedro Rojas era de 12 cuotas iguales y que no hubo pago alguno."
+    changed = text.replace("Juan Soto", "Ana María Muñoz Vidal").replace("12", "40")
+    assert (1, 1, "reparameterised") in found(spark, [(1, changed)], [(1, text)])
+
+
+def test_names_are_told_once_for_all_blocks(spark, monkeypatch):
+    rng = random.Random(4)
+    items = [(k, " ".join(rng.choice(["perito", "Soto", "soto" if k > 5 else "Rojas", "7", "pago", "cuotas", "causa"]) for _ in range(40))) for k in range(12)]
+    docs = [(k, t.replace("7", "9")) for k, t in items]
+    whole = found(spark, docs, items)
+    monkeypatch.setattr(leak, "BLOCK_CHARS", 300)
+    assert found(spark, docs, items[::-1]) == whole

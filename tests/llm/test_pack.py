@@ -72,3 +72,11 @@ def test_pack(spark):
     assert sorted(r.doc_id for r in pack.oversized(out).collect()) == [k for k, t in texts if len(t) + 1 > 4096]
     assert sorted(map(tuple, rows)) == sorted(map(tuple, pack.pack(df.repartition(7), shard_rows=60).collect()))
     assert pack.pack(df.limit(0)).count() == 0
+
+
+def test_shards_count_pieces(spark):
+    df = spark.createDataFrame([(1, "x" * 400_000), (2, "y")], "doc_id bigint, text string")
+    out = pack.pack(df, shard_rows=20)
+    per = out.selectExpr("container_id >> 32 as shard").groupBy("shard").count().collect()
+    assert 3 <= len(per) <= 6 and max(r["count"] for r in per) < 40
+    assert out.filter("doc_id = 1").agg({"end_byte": "max"}).first()[0] == 400_000

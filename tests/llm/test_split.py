@@ -64,3 +64,13 @@ def test_frames(spark):
     assert "".join(("palabra " * 200)[p.own_start : p.end_pos] for p in pieces) == "palabra " * 200
     assert all(len(p.piece) <= 800 and p.piece == ("palabra " * 200)[p.start_pos : p.end_pos] for p in pieces)
     assert split.plan(df.limit(0), ["row_id"], "t").count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(st.sampled_from("abcd  .\n,"), min_size=200, max_size=4000))
+def test_one_piece_less_would_not_do(text):
+    out = split.split(text, 60, 6)
+    n = len(out)
+    least = max(2, -(-(units(text) - 6) // 54))
+    if n > least:
+        assert split._balanced(text, split._Units(text), n - 1, 60, 6) is None
