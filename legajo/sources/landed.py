@@ -45,7 +45,7 @@ def save_id_cache(ids: DataFrame, path: str) -> None:
     arrays.select("value").write.mode("overwrite").option("compression", "gzip").text(path)
 
 
-def _filesystem(path: str) -> tuple[object, str]:
+def filesystem(path: str) -> tuple[object, str]:
     """The file system of a path or URI, so that tasks on any machine read the same files."""
     from pyarrow import fs
 
@@ -59,7 +59,7 @@ def _fetcher(options: dict) -> Callable[..., str | None]:
     """
     if options.get("fetch"):
         return _named(options["fetch"])
-    files, root = _filesystem(options["path"])
+    files, root = filesystem(options["path"])
 
     def landed(*key: object) -> str | None:
         try:
@@ -78,7 +78,7 @@ def _named(what: str) -> Callable:
 
 def scan_start(path: str, default: int = 1) -> int:
     """Where a scan goes on: the leading digits of a log file, 1 if it has none, ``default`` without a file."""
-    files, name = _filesystem(path)
+    files, name = filesystem(path)
     try:
         with files.open_input_stream(name) as f:
             m = re.match(r"\s*(\d+)", f.read().decode("utf-8", "replace"))
