@@ -46,6 +46,11 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return history.repeats(_batches(spark, sf)).withColumnRenamed("source", "source_table")
 
 
+def p5_by_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by a history that takes the batches in four turns and looks each up in what it has stored."""
+    return history.repeats_by_batch(_batches(spark, sf), 4).withColumnRenamed("source", "source_table")
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return pack.oversized(pack.pack(table(spark, sf, "documents")))
 
@@ -100,7 +105,7 @@ def p6_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_redacted, p3_found, p3_pieces, p3_check, p5_found, p6_found, p6_assignment, p6_check, p7_found, p7_leaks, p8_found, p8_texts, p8_classes)}
+    return {f.__name__: f for f in (p1_found, p1_redacted, p3_found, p3_pieces, p3_check, p5_found, p5_by_batch, p6_found, p6_assignment, p6_check, p7_found, p7_leaks, p8_found, p8_texts, p8_classes)}
 
 
 #: Blank as Python and Java script see it: Unicode spaces, the byte order mark, line ends.
