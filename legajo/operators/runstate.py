@@ -30,6 +30,11 @@ def ranked(df: DataFrame, order: str, chunk: int = CHUNK) -> DataFrame:
     return rows.join(before, "_chunk").withColumn("rn", F.col("_before") + own).drop("_chunk", "_before")
 
 
+def batched(df: DataFrame, order: str, size: int, chunk: int = CHUNK) -> DataFrame:
+    """df with ``batch_no``: 0, 1, ... for each ``size`` rows in the order of an integer column without ties."""
+    return ranked(df, order, chunk).withColumn("batch_no", F.floor((F.col("rn") - 1) / size)).drop("rn")
+
+
 def failures(df: DataFrame, order: str, failed: Column, chunk: int = CHUNK) -> DataFrame:
     """df with ``run``: how many rows up to this one failed in a row; 0 after a success."""
     rows = _chunked(df.withColumn("_f", failed.cast("int")), order, chunk)

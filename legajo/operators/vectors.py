@@ -160,12 +160,12 @@ def search_text(points: DataFrame, text: str, model: Model | None = None, **opti
     return search(points, [float(x) for x in (model or hash_model())([text])[0]], **options)
 
 
-def points(chunks: DataFrame, doc_col: str, index_col: str, text_col: str, model: Model | None = None, metadata: str | None = None, stamp: Column | None = None) -> DataFrame:
+def points(chunks: DataFrame, doc_col: str, index_col: str, text_col: str, model: Model | None = None, metadata: str | None = None, stamp: Column | None = None, warm: str | None = None) -> DataFrame:
     """Chunks as points: point_id, vector, doc_id, payload.
 
     The id follows from document and place, so that writing a point again changes nothing. The payload has the members of the
     struct or map column ``metadata``, then doc_id, text, chunk_index, total_chunks and timestamp, which win over members of
-    these names. ``stamp`` is the time that is told (now).
+    these names. ``stamp`` is the time that is told (now), ``warm`` a text that wakes the model.
     """
     own = {
         "doc_id": F.col(doc_col).cast("string"),
@@ -180,7 +180,7 @@ def points(chunks: DataFrame, doc_col: str, index_col: str, text_col: str, model
     else:
         given = [F.col(metadata)[n].alias(n) for n in chunks.schema[metadata].dataType.names if n not in own] if metadata else []
         payload = F.struct(*given, *(c.alias(n) for n, c in own.items()))
-    made = embed(chunks, text_col, model)
+    made = embed(chunks, text_col, model, warm=warm)
     key = F.sha2(F.concat_ws(":", F.col(doc_col).cast("string"), F.col(index_col).cast("string")), 256)
     return made.select(key.alias("point_id"), "vector", F.col(doc_col).alias("doc_id"), payload.alias("payload"))
 

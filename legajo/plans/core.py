@@ -393,7 +393,15 @@ def error_budget_paged(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT event_id, ((row_number() OVER (ORDER BY event_id) - 1) // 100)::BIGINT AS pause_no FROM events")
 def throttle_points(spark: SparkSession, sf: str) -> DataFrame:
-    return runstate.ranked(table(spark, sf, "events").select("event_id"), "event_id").select("event_id", F.floor((F.col("rn") - 1) / 100).alias("pause_no"))
+    return runstate.batched(table(spark, sf, "events").select("event_id"), "event_id", 100).withColumnRenamed("batch_no", "pause_no")
+
+
+@query("WITH x AS (SELECT rec_id, count(*) OVER () AS n, row_number() OVER (ORDER BY rec_id) AS rn FROM archivos) SELECT rec_id, ((rn - 1) // CASE WHEN n > 5000 THEN 100 WHEN n > 500 THEN 75 ELSE 50 END)::BIGINT AS batch_no FROM x")
+def file_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed records in batches of the size that their number asks for."""
+    files = table(spark, sf, "archivos").select("rec_id")
+    n = files.count()
+    return runstate.batched(files, "rec_id", 100 if n > 5000 else 75 if n > 500 else 50)
 
 
 @query("SELECT doc_id, collection FROM documents ORDER BY doc_id LIMIT 50 OFFSET 50")

@@ -14,6 +14,12 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("feed").alias("feed_id"), F.col("file").alias("file_no"), "field_name", "change_kind", "new_name")
 
 
+def p2_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """The fields of each file with the JSON types of their values and the number of records that have them."""
+    found = drift.profile(table(spark, sf, "archivos"))
+    return found.select(F.col("feed").alias("feed_id"), F.col("file").alias("file_no"), F.col("field").alias("field_name"), F.array_join("kinds", ",").alias("kinds"), "n")
+
+
 def p2_unified(spark: SparkSession, sf: str) -> DataFrame:
     """The records of all files in one table of typed columns."""
     landed = table(spark, sf, "archivos")
@@ -46,7 +52,7 @@ def p4_objects(spark: SparkSession, sf: str) -> DataFrame:
     return nested.objects(_bridge(spark, sf, roots=True))
 
 
-QUERIES = (p2_found, p2_unified, p2_schema, p4_found, p4_bridge, p4_objects)
+QUERIES = (p2_found, p2_profile, p2_unified, p2_schema, p4_found, p4_bridge, p4_objects)
 
 
 def held(j: str) -> str:
@@ -73,4 +79,8 @@ n AS (
   WHERE json_type(j) IN ('OBJECT', 'ARRAY'))
 SELECT source_table, row_id, path AS node_path, parent AS parent_path FROM n WHERE found"""
 
-SQL = {"p4_found": _P4}
+_P2 = """WITH a AS (SELECT feed_id, file_no, rec_id, try_cast(payload AS JSON) AS j FROM archivos), o AS (SELECT * FROM a WHERE json_type(j) = 'OBJECT'),
+e AS (SELECT o.feed_id, o.file_no, o.rec_id, e.key AS k, CASE WHEN e.type = 'VARCHAR' THEN 'string' WHEN e.type = 'NULL' THEN NULL WHEN e.type IN ('BOOLEAN', 'ARRAY', 'OBJECT') THEN lower(e.type) ELSE 'number' END AS t FROM o, LATERAL json_each(o.j) e)
+SELECT feed_id, file_no, k AS field_name, coalesce(string_agg(DISTINCT t, ',' ORDER BY t), '') AS kinds, count(DISTINCT rec_id) AS n FROM e GROUP BY feed_id, file_no, k"""
+
+SQL = {"p2_profile": _P2, "p4_found": _P4}

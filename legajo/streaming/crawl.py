@@ -49,12 +49,12 @@ def facet_table(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(f"{out}/facets").groupBy("facet", "value").agg(F.sum("n").alias("n"), F.min("first_seen").alias("first_seen"))
 
 
-def crawl_ids(spark: SparkSession, out: str, checkpoint: str, model: vectors.Model | None = None, **options: object) -> int:
+def crawl_ids(spark: SparkSession, out: str, checkpoint: str, model: vectors.Model | None = None, every: str = "0 seconds", **options: object) -> int:
     """Run an id crawl until its source has nothing new; returns the number of micro-batches.
 
     The checkpoint holds the next id. It moves on only after all sinks have written, and a run after a crash repeats the last
     batch. Options are those of the source ``id_crawl``; without ``stop`` a run ends when ``budget`` (100) answers in a row
-    were no statutes.
+    were no statutes. ``every`` is the time from one micro-batch to the next.
     """
     landed.register(spark)
     given = {"valid": "legajo.sources.landed:statute_answer", **{k: str(v) for k, v in options.items()}}
@@ -70,7 +70,7 @@ def crawl_ids(spark: SparkSession, out: str, checkpoint: str, model: vectors.Mod
         finally:
             df.unpersist()
 
-    query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).start()
+    query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
     try:
         query.processAllAvailable()
     finally:
