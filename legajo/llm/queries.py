@@ -47,8 +47,8 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_by_batch(spark: SparkSession, sf: str) -> DataFrame:
-    """The same by a history that takes the batches in four turns and looks each up in what it has stored."""
-    return history.repeats_by_batch(_batches(spark, sf), 4).withColumnRenamed("source", "source_table")
+    """The same by a history that takes the batches in three turns and looks each up in what it has stored."""
+    return history.repeats_by_batch(_batches(spark, sf), 3).withColumnRenamed("source", "source_table")
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
