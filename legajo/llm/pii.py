@@ -2,7 +2,7 @@
 
 A text runs through transducers that undo disguises (look-alike and invisible characters, spelled digits, written-out @ and
 dots) and remember where each character came from. Identifiers are detected in the plain form, and their spans are mapped back
-to the characters of the source. Names are told by a lexicon that is fitted to a bounded sample of case titles.
+to the characters of the source. Names are told by a lexicon that is fitted to all case titles.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from legajo.llm import fold
 
-#: Case titles that the lexicon is fitted to: those with the least hash of their id.
-SAMPLE_TITLES = 50_000
+#: Words whose counts a task holds before it hands them on.
+HELD_WORDS = 200_000
 KINDS = ("email", "phone", "id_number", "address", "name")
 
 
@@ -256,6 +256,41 @@ _JOIN = re.compile(r"\s+(?:(?:de|del|la|las|los|von|van|da)\s+){0,2}$")
 _CUES = set("don doña dona señor señora señorita senor senora sr sra srta abogado abogada perito perita testigo paciente funcionario funcionaria imputado imputada menor contador contadora notario notaria".split())
 
 
+#: A word that is so often part of a name is one, however often bodies have it.
+LEAST_NAMED = 3
+
+
+class WordCounts:
+    """How often each word of titles is the first word of a name, another one, and a word of a body or company."""
+
+    def __init__(self):
+        self.first: Counter[str] = Counter()
+        self.other: Counter[str] = Counter()
+        self.bodies: Counter[str] = Counter()
+
+    def __len__(self) -> int:
+        return len(self.first) + len(self.other) + len(self.bodies)
+
+    def add(self, title: str | None) -> None:
+        for side in _SIDES.split(plain(title).text) if title else ():
+            words = [_bare(w) for w in _WORD.findall(side or "")]
+            words = [w for w in words if w not in _CONNECT and len(w) > 1 and w != "otro" and w != "otra"]
+            if not words:
+                continue
+            if any(w in _BODIES or w in _TITLES for w in words) or _ENDS.search(" " + side + " ") or any(c.isdigit() for c in side):
+                self.bodies.update(words)
+            elif len(words) <= 6:
+                if len(words) >= 3:
+                    self.first[words[0]] += 1
+                    self.other.update(words[2:])
+                else:
+                    self.other.update(words[1:] or words)
+
+    def rows(self) -> list[tuple[str, int, int, int]]:
+        """(word, first, other, bodies)."""
+        return [(w, self.first[w], self.other[w], self.bodies[w]) for w in {*self.first, *self.other, *self.bodies}]
+
+
 class Lexicon:
     """Name words with their part (given or family), and their forms with one letter left out, for misread ones."""
 
@@ -266,27 +301,19 @@ class Lexicon:
     @classmethod
     def fit(cls, titles: list[str | None]) -> Lexicon:
         """From titles "plaintiff c/ defendant": the words of sides that no word of a body or company gives away."""
-        first: Counter[str] = Counter()
-        other: Counter[str] = Counter()
-        bodies: Counter[str] = Counter()
+        counts = WordCounts()
         for title in titles:
-            for side in _SIDES.split(plain(title).text) if title else ():
-                words = [_bare(w) for w in _WORD.findall(side or "")]
-                words = [w for w in words if w not in _CONNECT and len(w) > 1 and w != "otro" and w != "otra"]
-                if not words:
-                    continue
-                if any(w in _BODIES or w in _TITLES for w in words) or _ENDS.search(" " + side + " ") or any(c.isdigit() for c in side):
-                    bodies.update(words)
-                elif len(words) <= 6:
-                    if len(words) >= 3:
-                        first[words[0]] += 1
-                        other.update(words[2:])
-                    else:
-                        other.update(words[1:] or words)
-        total = first + other
-        names = {w for w, n in total.items() if n >= 1 and (2 * n > bodies[w] or n >= 3) and w not in _BODIES}
-        given = {w for w in names if first[w] > other[w]}
-        return cls(given, names - given)
+            counts.add(title)
+        return cls.of((w, f, o) for w, f, o, b in counts.rows() if 2 * (f + o) > b or f + o >= LEAST_NAMED)
+
+    @classmethod
+    def of(cls, named: Iterable[tuple[str, int, int]]) -> Lexicon:
+        """From words of names and how often each was first and another word of one."""
+        given, family = set(), set()
+        for word, first, other in named:
+            if first + other and word not in _BODIES:
+                (given if first > other else family).add(word)
+        return cls(given, family)
 
     def part(self, word: str) -> str:
         """G, F, ~ (close to a name word) or an empty string."""
@@ -406,13 +433,35 @@ def find(text: str | None, names: Names) -> list[tuple[str, int, int]]:
     return found
 
 
-def fit_lexicon(df: DataFrame, id_col: str = "row_id", title_col: str = "caratulado_s", sample: int = SAMPLE_TITLES) -> Lexicon:
-    """The lexicon of at most ``sample`` titles, those with the least hash of their id."""
-    rows = df.filter(F.col(title_col).isNotNull()).select(F.col(title_col).alias("t"), F.xxhash64(F.col(id_col)).alias("h"), F.col(id_col).alias("i"))
-    # Only so many rows that the sample is surely among them are sorted: a hash below this share of its range.
-    share = min(1.0, 1.2 * sample / max(1, df.count()))
-    rows = rows.filter(F.pmod("h", F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 64)).orderBy(F.pmod("h", F.lit(1 << 20)), "h", "i").limit(sample).collect()
-    return Lexicon.fit([r.t for r in rows])
+def fit_lexicon(df: DataFrame, id_col: str = "row_id", title_col: str = "caratulado_s", sample: int | None = None) -> Lexicon:
+    """The lexicon of all titles: ``Lexicon.fit`` with words counted by tasks, so that only those of names go to the driver.
+
+    A caller may ask for no more than ``sample`` titles instead, those with the least hash of their id.
+    """
+    rows = df.filter(F.col(title_col).isNotNull())
+    if sample is not None:
+        rows = rows.orderBy(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)), F.xxhash64(F.col(id_col)), F.col(id_col)).limit(sample)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = WordCounts()
+
+        def told() -> pa.RecordBatch:
+            rows = counts.rows()
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64() if k else pa.string()) for k in range(4)], ["word", "first", "other", "bodies"])
+
+        for batch in batches:
+            for title in batch.column("t").to_pylist():
+                counts.add(title)
+                if len(counts) > HELD_WORDS:
+                    yield told()
+                    counts = WordCounts()
+        yield told()
+
+    words = rows.select(F.col(title_col).alias("t")).mapInArrow(count, "word string, first bigint, other bigint, bodies bigint")
+    words = words.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("first", "other", "bodies")))
+    named = F.col("first") + F.col("other")
+    words = words.filter((named > 0) & ((2 * named > F.col("bodies")) | (named >= LEAST_NAMED)) & ~F.col("word").isin(*_BODIES))
+    return Lexicon.of((r.word, r["first"], r.other) for r in words.collect())
 
 
 def detect(df: DataFrame, lexicon: Lexicon, id_col: str = "row_id", text_cols: tuple[str, ...] = ("texto_sentencia", "caratulado_s")) -> DataFrame:

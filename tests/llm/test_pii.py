@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from legajo.llm import pii
 
@@ -113,6 +114,20 @@ def test_sample_is_bounded_and_repeatable(spark):
     assert len(a.family) <= 41
 
 
+def test_every_title_counts(spark, monkeypatch):
+    # More titles than a sample of 50,000 would hold; forty names stand in one of them each, Zutano in three and in more bodies.
+    common = spark.range(60_000).select(F.col("id").alias("row_id"), F.lit("Ana Soto Rojas c/ FISCO").alias("caratulado_s"))
+    rare = ["Qwert" + chr(97 + k % 26) + chr(97 + k // 26) for k in range(40)]
+    odd = [f"Ana María {w} con FISCO" for w in rare] + ["Zutano Soto Rojas c/ FISCO"] * 3 + ["Banco Zutano / Banco Nada"] * 9 + ["Ana María Nada / FISCO", None, ""]
+    df = common.unionByName(spark.createDataFrame([(60_000 + k, t) for k, t in enumerate(odd)], "row_id bigint, caratulado_s string"))
+    whole = pii.Lexicon.fit([r.caratulado_s for r in df.collect()])
+    assert {w.lower() for w in rare} <= whole.family and "zutano" in whole.given and "nada" not in whole.family
+    for held in (200_000, 3):
+        monkeypatch.setattr(pii, "HELD_WORDS", held)
+        got = pii.fit_lexicon(df.repartition(3))
+        assert (got.given, got.family, got.near) == (whole.given, whole.family, whole.near)
+
+
 @pytest.mark.parametrize("sign", [",", ".", "-", ", "])
 def test_spelled_digits_glued_by_signs(sign):
     number = sign.join("nueve ocho siete seis cinco cuatro tres dos uno".split())
